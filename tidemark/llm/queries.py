@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, fingerprints, near_dedup, packing, secrets
+from tidemark.llm import decontamination, fingerprints, language_id, near_dedup, packing, quality, secrets
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_report(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("clean")
 
@@ -26,6 +30,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def tokenizer_path() -> str:
     """The public vocabulary that packing is asked to use; operators take a path as a parameter."""
     import public_tokenizers
@@ -40,8 +48,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op4_language_id": op4_language_id,
     "op5_secret_scans": op5_secret_scans,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
