@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, fingerprints, language_id, near_dedup, packing, quality, secrets
+from tidemark.llm import decontamination, fingerprints, html_extract, language_id, near_dedup, packing, quality, secrets
 from tidemark.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_report(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_html_extraction": op3_html_extraction,
     "op4_language_id": op4_language_id,
     "op5_secret_scans": op5_secret_scans,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
