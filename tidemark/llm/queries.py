@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, fingerprints, html_extract, language_id, near_dedup, packing, quality, secrets
+from tidemark.llm import decontamination, fingerprints, html_extract, language_id, lm_score, near_dedup, packing, quality, secrets
 from tidemark.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     """The public vocabulary that packing is asked to use; operators take a path as a parameter."""
     import public_tokenizers
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scans": op5_secret_scans,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
