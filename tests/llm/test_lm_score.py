@@ -78,8 +78,9 @@ def test_probabilities_sum_to_one_in_every_state():
 def test_traversal_follows_the_longest_suffix():
     texts = ["a b c a b c a b d"] * 9 + ["c b a"] * 3
     auto, c = model(texts, 6)
-    words = [(w or "").encode() for w in split("a b c a b never a b")]
-    logs = [auto.unigram(c[w]) for w in split("a b c a b never a b")]
+    text = "a b c a b never a b d"
+    words = [(w or "").encode() for w in split(text)]
+    logs = [auto.unigram(c[w]) for w in split(text)]
     want, state = 0.0, auto.start
     for w, p in zip(words, logs):
         want += auto.log_probability(state, w, 0 if w == b"never" else c[w.decode() or None])
