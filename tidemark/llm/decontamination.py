@@ -128,3 +128,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc("similarity"), "distance", "start", "length")
     out = scored.withColumn("rank", F.row_number().over(best)).where("rank = 1")
     return out.select(F.col("doc_id").alias(id_col), F.col("item_id").alias(item_id), "similarity", F.col("distance").cast("int").alias("distance"), F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"))
+
+
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all their columns, that hold no leaked item; rows without an id stay."""
+    bad = leaks(docs, items, id_col, text_col).select(id_col).distinct()
+    return docs.join(bad, id_col, "left_anti").select(*docs.columns)

@@ -67,3 +67,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = by_fp.join(by_root, "root").select("fp", "component_id")
     out = fps.join(named, "fp").select("id", "fp", "component_id", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     return out.select(F.col("id").alias(id_col), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of `docs`, all their columns, that stay: of each component the one of smallest id, then text hash."""
+    fps = written(fingerprints(docs, id_col, text_col, size), "fingerprints")
+    least = fps.groupBy("fp").agg(F.min(F.struct("id", "text_hash")).alias("low"))
+    linked = components(links(least.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
+    by_root = least.join(linked, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("low").alias("low"))
+    stay = by_root.select(F.col("low.id").alias("_id"), F.col("low.text_hash").alias("_hash"))
+    rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = rows.join(stay, rows[id_col].eqNullSafe(stay["_id"]) & (rows["_text_hash"] == stay["_hash"]), "left_semi")
+    return kept.dropDuplicates([id_col, "_text_hash"]).select(*docs.columns)

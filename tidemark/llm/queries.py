@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, fingerprints, html_extract, language_id, lm_score, near_dedup, packing, quality, secrets
+from tidemark.llm import decontamination, fingerprints, html_extract, language_id, lm_score, near_dedup, packing, quality, secrets, substring_dedup
 from tidemark.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.duplicate_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_secret_scans": op5_secret_scans,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_best_fit_packing": op10_best_fit_packing,

@@ -205,3 +205,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lo
 
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _SCHEMA)
     return out.withColumnRenamed("id", id_col)
+
+
+def mask(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", min_log10: float = MIN_LOG10) -> DataFrame:
+    """`docs`, all rows and columns, with every span masked; `length_col`, if there is one, follows the new text."""
+    at = docs.columns.index(text_col)
+    length = docs.columns.index(length_col) if length_col in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            sizes = None if length is None else batch.column(length).to_pylist()
+            for k, text in enumerate(texts):
+                spans, _ = all_spans(text, base_spans(text), min_log10) if text else ([], 0.0)
+                if spans:
+                    texts[k] = redact(text, spans)
+                    if sizes is not None:
+                        sizes[k] = len(texts[k])
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, columns[at].type)
+            if sizes is not None:
+                columns[length] = pa.array(sizes, columns[length].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
