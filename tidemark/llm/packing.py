@@ -20,6 +20,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,48 +31,78 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 CAPACITY = 2048
-#: Words whose ids a Python worker remembers; when full it starts anew. It bounds memory and changes no result.
-CACHE_WORDS = 400_000
+#: Words whose ids a Python worker remembers, from task to task; when full it forgets all but the first quarter. It
+#: bounds memory and changes no result.
+CACHE_WORDS = 600_000
 #: Hash groups in which the pieces of a length are ranked.
 RANK_GROUPS = 64
 _PIECES = "doc_id long, doc_key long, piece int, start long, length long, ids_crc32 long"
 #: Python's split() also cuts at these; the tokenizers here don't.
+_PUNCTUATION = ".,;:!?|%&*$#"
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
+@lru_cache(2)
 def encoder(path: str):
     """text -> its ids as little-endian 32-bit bytes. Words between white space are encoded once and remembered.
 
-    This holds for tokenizers that drop white space and never merge across it; `by_word` is checked on a sample string
-    and texts go whole through the tokenizer where it fails.
+    This holds for tokenizers that drop white space, never merge across it and part letters from punctuation; a probe
+    tells, and where it fails texts go whole through the tokenizer. New words made of letters are encoded many in one
+    call and told apart by the tokens that end a word; where their number doesn't come out, one by one.
     """
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     raw = lambda ids: np.asarray(ids, dtype="<u4").tobytes()
     whole = lambda t: raw(tok.encode(t, add_special_tokens=False).ids)
-    probe = "Ab,  c's\n12 éx"
-    by_word = whole(probe) == b"".join(whole(w) for w in probe.split())
+    probe = ("Ab", ",", " ", " c's", "\n", "12", " éx", "..|")
+    by_word = whole("Ab") == whole("ab") and whole("".join(probe)) == b"".join(whole(w) for w in probe)
+    suffix = getattr(tok.model, "end_of_word_suffix", None)
+    ends = np.zeros(tok.get_vocab_size(), bool)
+    if suffix:
+        ends[[i for token, i in tok.get_vocab().items() if token.endswith(suffix)]] = True
     seen: dict[str, bytes] = {}
 
+    def many(ws: list[str]) -> list[bytes]:
+        """The codes of words made of letters."""
+        if suffix:
+            ids = np.asarray(tok.encode(" ".join(ws), add_special_tokens=False).ids, dtype="<u4")
+            cut = np.flatnonzero(ends[ids]) + 1
+            if len(cut) == len(ws) and cut[-1] == len(ids):
+                code, at = ids.tobytes(), [0, *(4 * cut).tolist()]
+                return [code[a:b] for a, b in zip(at, at[1:])]
+        return [raw(x.ids) for x in tok.encode_batch_fast(ws, add_special_tokens=False)]
+
+    def learn(ws: list[str]) -> None:
+        """Add words to `seen`. Punctuation after letters is a token run of its own."""
+        parts = {w: (s, w[len(s) :]) for w in ws if (s := w.rstrip(_PUNCTUATION)).isalpha()}
+        for some in ({s for s, _ in parts.values()}, {p for _, p in parts.values() if p}, set(ws) - parts.keys()):
+            new = [w for w in some if w not in seen]
+            for at in range(0, len(new), 2000):
+                part = new[at : at + 2000]
+                seen.update(zip(part, many(part) if part[0].isalpha() and all(map(str.isalpha, part)) else (whole(w) for w in part)))
+        seen.update((w, seen[s] + seen[p] if p else seen[s]) for w, (s, p) in parts.items())
+
     def encode(texts: list[str]) -> list[bytes]:
         if not by_word:
             return [whole(t) for t in texts]
-        out = []
+        words, cuts = [], [0]
         for text in texts:
-            if _ODD_SPACE.search(text):
-                out.append(whole(text))
-                continue
-            ws = text.split()
-            try:
-                out.append(b"".join([seen[w] for w in ws]))
-            except KeyError:
-                new = list({w for w in ws if w not in seen})
-                if len(seen) + len(new) > CACHE_WORDS:
-                    seen.clear()
-                    new = list(set(ws))
-                seen.update(zip(new, (raw(x.ids) for x in tok.encode_batch_fast(new, add_special_tokens=False))))
-                out.append(b"".join([seen[w] for w in ws]))
+            if text.isascii() and "<|" not in text:  # case is dropped anyway, and ASCII has only one way to
+                text = text.lower()
+            if not _ODD_SPACE.search(text):
+                words += text.split()
+            cuts.append(len(words))
+        codes = list(map(seen.get, words))
+        missing = [k for k, code in enumerate(codes) if code is None]
+        learn(list({words[k] for k in missing}))
+        for k in missing:
+            codes[k] = seen[words[k]]
+        out = [whole(t) if _ODD_SPACE.search(t) else b"".join(codes[a:b]) for t, a, b in zip(texts, cuts, cuts[1:])]
+        if len(seen) > CACHE_WORDS:  # the first words that were met are the frequent ones
+            kept = list(islice(seen.items(), CACHE_WORDS // 4))
+            seen.clear()
+            seen.update(kept)
         return out
 
     return encode
