@@ -35,8 +35,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def ball_keys(fp: Column, radius: int) -> Column:
     """The table keys of a fingerprint: itself and, for a radius over one, every flip of one bit in either segment."""
-    flips = [fp.bitwiseXOR(F.lit(-(1 << 63) if i == 63 else 1 << i)) for i in range(64)] if radius else []
-    return F.array(fp, *flips)
+    return F.concat(F.array(fp), simhash.flips(fp)) if radius else F.array(fp)
 
 
 def links(fps: DataFrame, radius: int = 2) -> DataFrame:

@@ -72,6 +72,36 @@ class Model:
         return self.bias + sum(float(self.weights[x].mean()) for x in features(text))
 
 
+class _Bags:
+    """Table rows and weights of each text, many texts to an array: large arrays go back to the system when freed."""
+
+    CHUNK = 256
+
+    def __init__(self, texts: list[str | None]) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for at in range(0, len(texts), self.CHUNK):
+            rows, weights, cuts = [], [], [0]
+            for t in texts[at : at + self.CHUNK]:
+                size = 0
+                for x in features(t):
+                    u, n = np.unique(x, return_counts=True)
+                    rows.append(u.astype(np.int32))
+                    weights.append((n / len(x)).astype(np.float32))
+                    size += len(u)
+                cuts.append(cuts[-1] + size)
+            join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+            self.parts.append((join(rows, np.int32), join(weights, np.float32), np.asarray(cuts)))
+        self.n = len(texts)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        rows, weights, cuts = self.parts[k // self.CHUNK]
+        a, b = cuts[k % self.CHUNK], cuts[k % self.CHUNK + 1]
+        return rows[a:b], weights[a:b]
+
+
 def _sigmoid(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -500, 500))))
 
@@ -83,14 +113,7 @@ def train(texts: list[str | None], labels: list[int], shares: tuple[float, float
     if not 0 < n1 < len(y):
         p = n1 / len(y) if len(y) else 0.5
         return Model(None, float(np.clip(np.log(p / (1 - p)) if 0 < p < 1 else (40 if p else -40), -40, 40)))
-    docs = []
-    for t in texts:
-        rows, weights = [], []
-        for x in features(t):
-            u, n = np.unique(x, return_counts=True)
-            rows.append(u)
-            weights.append((n / len(x)).astype(np.float32))
-        docs.append((np.concatenate(rows), np.concatenate(weights)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.float32)))
+    docs = _Bags(texts)
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / DIM, 1 / DIM, (ROWS, DIM)).astype(np.float32)
     out, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)

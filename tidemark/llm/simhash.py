@@ -32,15 +32,23 @@ def vote_sums(h: Column, name: str = "_v") -> list[Column]:
     return [F.sum(F.shiftright(h, i).bitwiseAND(F.lit(_PAIR))).alias(f"{name}{i}") for i in range(32)]
 
 
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+
+
 def majority(n: Column, name: str = "_v") -> Column:
-    """The fingerprint as a long: a bit is set if over half of `n` terms set it."""
-    out = F.lit(0).cast("long")
-    for i in range(32):
-        v = F.col(f"{name}{i}")
-        out = out.bitwiseOR(F.when(v.bitwiseAND(F.lit(_LOW)) * 2 > n, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-        top = -(1 << 63) if i == 31 else 1 << (i + 32)
-        out = out.bitwiseOR(F.when(F.shiftright(v, 32) * 2 > n, F.lit(top)).otherwise(F.lit(0)).cast("long"))
-    return out
+    """The fingerprint as a long: a bit is set if over half of `n` terms set it.
+
+    A loop over an array, as 64 spelled-out conditions would make code that the driver and each executor must hold.
+    """
+    over = lambda v, place: F.when(v * 2 > n, _bit(place)).otherwise(F.lit(0).cast("long"))
+    both = F.transform(F.array(*[f"{name}{i}" for i in range(32)]), lambda v, i: over(v.bitwiseAND(F.lit(_LOW)), i).bitwiseOR(over(F.shiftright(v, 32), i + 32)))
+    return F.aggregate(both, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+
+def flips(fp: Column) -> Column:
+    """All 64 fingerprints that differ in one bit."""
+    return F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: fp.bitwiseXOR(_bit(i)))
 
 
 def hex16(fp: Column) -> Column:
