@@ -62,19 +62,34 @@ def plain_mint(data: Column) -> Column:
     return F.when(F.length(data) == MINT_LEN, token_mint(data))
 
 
-def extended_account(data: Column) -> Column:
-    """A token account with or without extensions; longer ones carry the account mark, and a multisig's length is none."""
+def _extended(data: Column, base: int, mark: int) -> Column:
+    """Whether the length and the mark fit: bare, or longer with the mark of its kind; a multisig's length is none."""
     n = F.length(data)
-    marked = (n > ACCOUNT_LEN) & (n != MULTISIG_LEN) & (_flag(data, ACCOUNT_LEN) == ACCOUNT_MARK)
-    return F.when((n == ACCOUNT_LEN) | marked, token_account(data))
+    return (n == base) | ((n > ACCOUNT_LEN) & (n != MULTISIG_LEN) & (_flag(data, ACCOUNT_LEN) == mark))
+
+
+def _padded(data: Column) -> Column:
+    """A mint with extensions is filled up with zeros to an account's length."""
+    return (F.length(data) == MINT_LEN) | (F.hex(bytes_at(data, MINT_LEN, ACCOUNT_LEN - MINT_LEN)) == "00" * (ACCOUNT_LEN - MINT_LEN))
+
+
+def extended_account(data: Column) -> Column:
+    return F.when(_extended(data, ACCOUNT_LEN, ACCOUNT_MARK), token_account(data))
 
 
 def extended_mint(data: Column) -> Column:
-    """A mint with or without extensions; longer ones are padded with zeros up to the mint mark."""
-    n = F.length(data)
-    padded = F.hex(bytes_at(data, MINT_LEN, ACCOUNT_LEN - MINT_LEN)) == "00" * (ACCOUNT_LEN - MINT_LEN)
-    marked = (n > ACCOUNT_LEN) & (n != MULTISIG_LEN) & (_flag(data, ACCOUNT_LEN) == MINT_MARK) & padded
-    return F.when((n == MINT_LEN) | marked, token_mint(data))
+    return F.when(_extended(data, MINT_LEN, MINT_MARK) & _padded(data), token_mint(data))
+
+
+def routed_account(data: Column, plain: Column, extensible: Column) -> Column:
+    """The token account of either program, its layout spelled out once."""
+    fits = F.when(plain, F.length(data) == ACCOUNT_LEN).when(extensible, _extended(data, ACCOUNT_LEN, ACCOUNT_MARK))
+    return F.when(fits, token_account(data))
+
+
+def routed_mint(data: Column, plain: Column, extensible: Column) -> Column:
+    fits = F.when(plain, F.length(data) == MINT_LEN).when(extensible, _extended(data, MINT_LEN, MINT_MARK) & _padded(data))
+    return F.when(fits, token_mint(data))
 
 
 # --- Arrow-batched: extensions and metadata --------------------------------------------------------------------------

@@ -21,7 +21,7 @@ def u_le(data: Column, offset: int, size: int) -> Column:
 
 def _turned(text: Column, size: int) -> Column:
     """Hex digits with their bytes in the other order. (reverse() takes binary for UTF-8 and would keep its characters.)"""
-    return F.concat(*[F.substring(text, 2 * k + 1, 2) for k in reversed(range(size))])
+    return text if size == 1 else F.regexp_replace(text, "(..)" * size, "".join(f"${k}" for k in range(size, 0, -1)))
 
 
 def to_u64_le(value: Column) -> Column:

@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import decoders, scalar
+from tidemark.functions.base58 import base58, from_base58
 from tidemark.operators import balances, metadata, token_info, tombstones, versioned
 from tidemark.operators.reports import catalogue_gaps, counters, parts_report
-from tidemark.sources import discovery, programs, records
+from tidemark.plans import ingest, schemas
+from tidemark.sources import archive, discovery, programs, records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,3 +495,65 @@ def decode_token_mints(spark, sf_dir):
     data = F.concat(F.unhex(F.lit("01000000")), _key("a", "p_brand"), scalar.to_u64_le(cents("p_retailprice")), size, F.unhex(F.lit("01" + "00" * 36)))
     rows = p.select("p_partkey", once(data, decoders.plain_mint).alias("m"))
     return rows.select("p_partkey", F.col("m.supply").cast("long").alias("supply"), "m.decimals", "m.is_initialized", F.lower(F.hex("m.mint_authority")).alias("mint_authority"))
+
+
+# --- whole checkpoints -----------------------------------------------------------------------------------------------
+
+
+def _checkpoint(rows: DataFrame, slot: Column, closed: Column, amount: Column) -> DataFrame:
+    """Account records made of orders, packed into storage files and decoded again."""
+    none, zero = F.unhex(F.lit("00" * 36)), F.unhex(F.lit("00" * 8))
+    mint = F.unhex(F.sha2(F.concat(F.lit("m"), (F.col("o_custkey") % 50).cast("string")), 256))
+    data = F.concat(mint, _key("w", "o_custkey"), scalar.to_u64_le(amount), none, F.unhex(F.lit("01")), F.unhex(F.lit("00" * 12)), zero, none)
+    rows = rows.select(
+        slot.cast("long").alias("slot"), (F.col("o_orderkey") % 4).alias("file_id"), F.col("o_orderkey").alias("offset"), _key("k", "o_orderkey").alias("pubkey"), F.when(closed, 0).otherwise(1).cast("decimal(20,0)").alias("lamports"),
+        F.lit(0).cast("decimal(20,0)").alias("rent_epoch"), F.when(closed, F.lit(ingest.DEFAULT_OWNER)).otherwise(F.lit(ingest.TOKEN)).alias("owner"), F.lit(False).alias("executable"), F.unhex(F.lit("00" * 32)).alias("hash"),
+        F.when(closed, F.unhex(F.lit(""))).otherwise(data).alias("data"),
+    )
+    return records.decode(records.encode(rows))
+
+
+def _hot(spark) -> DataFrame:
+    return spark.range(25).select(base58(F.unhex(F.sha2(F.concat(F.lit("m"), F.col("id").cast("string")), 256))).alias("mint"))
+
+
+def _hex(df: DataFrame) -> DataFrame:
+    back = lambda c: F.lower(F.hex(from_base58(c))).alias(c)
+    return df.select(back("mint"), back("owner"), F.col("amount_raw").cast("long").alias("amount_raw"), "updated_slot")
+
+
+def _full(spark, sf_dir) -> dict[str, DataFrame]:
+    orders = t(spark, sf_dir, "orders")
+    full = _checkpoint(orders, F.col("o_orderkey") % 90 + 1, F.lit(False), F.when(F.col("o_orderstatus") == "P", 0).otherwise(cents("o_totalprice")))
+    return ingest.full_load(full, _hot(spark), 100, spark.createDataFrame([], schemas.TABLES["raw_token_metadata"]))
+
+
+_FULL = "full_state AS (SELECT o_orderkey AS k, o_orderstatus AS status, 'm' || (o_custkey % 50) AS m, 'w' || o_custkey AS w, CASE o_orderstatus WHEN 'P' THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS amount, o_orderkey % 90 + 1 AS slot FROM orders WHERE o_custkey % 50 < 25)"
+
+
+@query(f"WITH {_FULL} SELECT sha256(m) AS mint, sha256(w) AS owner, CAST(sum(amount) AS BIGINT) AS amount_raw, max(slot) AS updated_slot FROM full_state WHERE amount > 0 GROUP BY m, w")
+def checkpoint_full_balances(spark, sf_dir):
+    return _hex(_full(spark, sf_dir)["hot_wallet_token_balance"])
+
+
+@query(
+    f"""WITH {_FULL}, kept AS (SELECT * FROM full_state WHERE amount > 0),
+    delta AS (SELECT k, m, w, CASE WHEN status = 'F' THEN NULL ELSE amount // 2 END AS amount FROM full_state WHERE status = 'P' OR k % 3 = 0),
+    known AS (SELECT d.* FROM delta d WHERE d.amount IS NOT NULL OR d.k IN (SELECT k FROM kept)),
+    now AS (SELECT m, w, amount FROM known WHERE amount IS NOT NULL UNION ALL SELECT m, w, amount FROM kept WHERE k NOT IN (SELECT k FROM known)),
+    touched AS (SELECT DISTINCT m, w FROM known)
+    SELECT sha256(t.m) AS mint, sha256(t.w) AS owner, CAST(coalesce((SELECT sum(amount) FROM now n WHERE n.m = t.m AND n.w = t.w), 0) AS BIGINT) AS amount_raw, CAST(200 AS BIGINT) AS updated_slot FROM touched t"""
+)
+def checkpoint_incremental_balances(spark, sf_dir):
+    tables = _full(spark, sf_dir)
+    orders = t(spark, sf_dir, "orders").where((F.col("o_orderstatus") == "P") | (F.col("o_orderkey") % 3 == 0))
+    amount = F.when(F.col("o_orderstatus") == "P", F.lit(0).cast("long")).otherwise(F.expr("CAST(round(o_totalprice * 100) AS BIGINT) DIV 2"))
+    delta = _checkpoint(orders, F.lit(150), F.col("o_orderstatus") == "F", amount)
+    return _hex(ingest.incremental_load(delta, _hot(spark), 200, tables)["hot_wallet_token_balance"])
+
+
+@query("SELECT o_custkey AS slot, o_orderkey AS file_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey * 8 ELSE 8 END AS valid_len FROM orders")
+def valid_lengths(spark, sf_dir):
+    files = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("slot"), F.col("o_orderkey").alias("file_id"))
+    listed = files.select("slot", "file_id", F.when(F.col("file_id") % 2 == 0, F.col("file_id") * 8).otherwise(8).alias("valid_len"))
+    return archive.with_valid_length(files, listed)

@@ -32,8 +32,7 @@ def route(records: DataFrame) -> DataFrame:
     """Adds `route` (token, token_ext, metadata, other) and the decoded `account` and `mint_row`, null where not such."""
     token, ext = _is("owner", TOKEN), _is("owner", TOKEN_EXT)
     name = F.when(token, "token").when(ext, "token_ext").when(_is("owner", METADATA), "metadata").otherwise("other")
-    account = F.when(token, decoders.plain_account(F.col("data"))).when(ext, decoders.extended_account(F.col("data")))
-    mint = F.when(token, decoders.plain_mint(F.col("data"))).when(ext, decoders.extended_mint(F.col("data")))
+    account, mint = (read(F.col("data"), token, ext) for read in (decoders.routed_account, decoders.routed_mint))
     return records.withColumns({"route": name, "account": account, "mint_row": mint})
 
 
