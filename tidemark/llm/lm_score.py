@@ -166,23 +166,30 @@ def _count_head(rows: DataFrame, head: list[int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        two, three = np.zeros(base * base, np.int64), np.zeros(base**3 if base < 40 else HEAD3**2 * base, np.int64)
+        two, three = np.zeros(base * base, np.int64), np.zeros(HEAD3**2 * base, np.int64)
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                ws = tokens(text)
-                new = {w for w in ws if w not in known}
-                if len(known) + len(new) > REMEMBER:
+            for at in range(0, batch.num_rows, 128):
+                ids: list[int] = []
+                for text in batch.column(0)[at : at + 128].cast(pa.binary()).to_pylist():
+                    # texts stand one after another: end, then start, is no pair of any
+                    ids.append(base - 1)
+                    ws = tokens(text)
+                    try:
+                        ids += [known[w] for w in ws]
+                    except KeyError:
+                        known.update((w, index.get(word_hash(w), -1)) for w in set(ws) if w not in known)
+                        ids += [known[w] for w in ws]
+                    ids.append(base - 2)
+                if len(known) > REMEMBER:
+                    kept = {w: k for w, k in known.items() if k >= 0}
                     known.clear()
-                    new = set(ws)
-                known.update((w, index.get(word_hash(w), -1)) for w in new)
-                ids = np.fromiter((known[w] for w in ws), np.int64, len(ws))
-                ids = np.concatenate(([base - 1], ids, [base - 2]))
-                a, b = ids[:-1], ids[1:]
-                two += np.bincount((a * base + b)[(a >= 0) & (b >= 0)], minlength=len(two))
-                if len(ids) > 2:
-                    a, b, c = ids[:-2], ids[1:-1], ids[2:]
-                    ok = (a >= 0) & (a < HEAD3) & (b >= 0) & (b < HEAD3) & ((c >= 0) & (c < HEAD3) | (c == base - 2))
-                    three += np.bincount(((a * HEAD3 + b) * base + c)[ok], minlength=len(three))
+                    known.update(kept)
+                row = np.asarray(ids, np.int64)
+                a, b = row[:-1], row[1:]
+                two += np.bincount((a * base + b)[(a >= 0) & (b >= 0) & (a != base - 2)], minlength=len(two))
+                a, b, c = row[:-2], row[1:-1], row[2:]
+                ok = (a >= 0) & (a < HEAD3) & (b >= 0) & (b < HEAD3) & ((c >= 0) & (c < HEAD3) | (c == base - 2)) & (a < base - 2) & (b < base - 2)
+                three += np.bincount(((a * HEAD3 + b) * base + c)[ok], minlength=len(three))
         for size, found in ((2, two), (3, three)):
             at = np.flatnonzero(found)
             if len(at):
