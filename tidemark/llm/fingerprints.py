@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import hamming, simhash
-from tidemark.llm.common import words
+from tidemark.llm.common import words, written
 
 TERM_WORDS = 3
 WORD = r"\S+"
@@ -114,6 +114,7 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     both = fps.groupBy(*keys).agg(
         F.max(F.when(~F.col("is_edited"), F.col("fp"))).alias("fp"), F.max(F.when(F.col("is_edited"), F.col("fp"))).alias("edited_fp"), F.max("copies").alias("copies")
     )
+    both = written(both, "fingerprints")  # read twice below: as the row itself and as its neighbour's next
     other = both.select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("fp").alias("o_fp")).distinct()
     out = both.join(other, F.col("next_id").eqNullSafe(F.col("o_id")) & (F.col("next_h") == F.col("o_h")))
     out = out.select("*", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
