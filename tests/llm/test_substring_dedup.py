@@ -95,3 +95,22 @@ def test_repeats_in_one_document_only_and_empty_table(spark):
     p = prose(rng, 70)
     assert spans(spark, [(1, p + "\n" + p), (2, prose(rng, 90))]) == []
     assert spans(spark, []) == []
+
+
+def test_prefix_filter_finds_every_similar_pair_of_different_clusters(spark):
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(30)]
+    sets = {}
+    for k in range(60):
+        own = [f"g{k // 6}x{j}" for j in range(rng.randrange(10, 60))]
+        base = sets[k - 1] if k % 3 else set(own) | set(common)
+        sets[k] = set(rng.sample(sorted(base), int(len(base) * rng.uniform(0.85, 1.0)))) | {f"u{k}x{j}" for j in range(rng.randrange(4))}
+    number = {t: n for n, t in enumerate(sorted(set().union(*sets.values())))}
+    cluster = {k: k // 2 * 2 if k % 5 else k for k in sets}
+    df = spark.createDataFrame([(k, [number[t] for t in s]) for k, s in sets.items()], "unit long, s array<long>")
+    units = spark.createDataFrame(list(cluster.items()), "unit long, cluster long")
+    pairs = S._across(units, df, 0.8, [])
+    got = {tuple(r) for r in S._verified(pairs, df, 0.8).collect()}
+    want = {(a, b) for b in sets for a in range(b) if cluster[a] != cluster[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert got == want and len(want) > 10
+    assert pairs.count() < 200

@@ -8,9 +8,9 @@ Units of a text are
   that stand inside longer paragraphs, by exact equality.
 
 Equal units are one class from the start, so copies cost no pairs. Of paragraphs that share a band, all are compared with
-the band's first one; whatever isn't similar to that one is compared with all others of the band, so no link is lost and
-a large group of near copies takes as many comparisons as it has members. The similarity is the exact Jaccard
-coefficient of the shingle sets, 0.8 or more. Components of verified links are clusters, and a cluster counts if it has
+the band's first one, so a large group of near copies takes as many comparisons as it has members. Where a band then
+still holds several clusters, its paragraphs are compared across clusters by an exact prefix filter, so no link between
+clusters is lost. The similarity is the exact Jaccard coefficient of the shingle sets, 0.8 or more. Components of verified links are clusters, and a cluster counts if it has
 two documents or more. The smallest document id keeps its text; the others' spans are removals.
 
 Defined results: null and empty texts have no units, nor have texts of fewer than MIN_WORDS words. Repeats inside one
@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
-from tidemark.llm.common import components, words, written
+from tidemark.llm.common import components, forget, words, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -38,8 +38,8 @@ BANDS, ROWS = 10, 4
 WINDOW, BLOCK = 20, 24
 
 _RNG = np.random.default_rng(77)
-_TIMES = (_RNG.integers(0, 1 << 62, BANDS * ROWS, dtype=np.uint64) * 2 + 1).astype(np.uint64)
-_PLUS = _RNG.integers(0, 1 << 62, BANDS * ROWS, dtype=np.uint64)
+_TIMES = (_RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * 2 + 1).astype(np.uint32)
+_PLUS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -74,18 +74,16 @@ def units(text: str) -> tuple[list[np.ndarray], np.ndarray]:
     long = stop - begin >= MIN_WORDS
     bands = np.zeros((int(long.sum()), BANDS), np.uint64)
     if long.any():
-        within = np.concatenate((line[: n - SHINGLE + 1] == line[SHINGLE - 1 :], np.zeros(SHINGLE - 1, bool)))
-        padded = np.concatenate((shingles, np.zeros(SHINGLE - 1, np.uint64)))
-        least = []
-        for times, plus in zip(_TIMES, _PLUS):
-            v = np.where(within, (padded * times + plus) >> np.uint64(32), np.uint64(1 << 32))
-            least.append(np.minimum.reduceat(v, begin)[long])
-        for k in range(BANDS):
-            key = np.full(len(bands), np.uint64(k + 1))
-            for m in least[k * ROWS : (k + 1) * ROWS]:
-                key = (key ^ m) * _BASE
-                key ^= key >> np.uint64(31)
-            bands[:, k] = key
+        outside = np.flatnonzero(np.concatenate((line[: n - SHINGLE + 1] != line[SHINGLE - 1 :], np.ones(SHINGLE - 1, bool))))
+        base = np.concatenate(((shingles >> np.uint64(32)).astype(np.uint32), np.zeros(SHINGLE - 1, np.uint32)))
+        v = (base[None, :] * _TIMES[:, None]) ^ _PLUS[:, None]
+        v[:, outside] = 0xFFFFFFFF
+        least = np.minimum.reduceat(v, begin, axis=1)[:, long].reshape(BANDS, ROWS, -1).astype(np.uint64)
+        key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], least.shape[2], axis=1)
+        for k in range(ROWS):
+            key = (key ^ least[:, k]) * _BASE
+            key ^= key >> np.uint64(31)
+        bands = np.ascontiguousarray(key.T)
     begin, stop = begin[long], stop[long]
     at = np.zeros(0, np.int64)
     if n >= BLOCK:
@@ -138,20 +136,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.where(shared >= similarity * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
-def links(found: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): verified links between different paragraphs that share a band."""
-    banded = found.where(F.size("bands") > 0)
-    rows = written(banded.select("unit", F.explode("bands").alias("band")).distinct(), "bands")
+def _ceil(x: Column) -> Column:
+    return F.ceil(x - 1e-9).cast("int")
+
+
+def _kept(made: list[DataFrame], df: DataFrame, name: str) -> DataFrame:
+    made.append(written(df, name))
+    return made[-1]
+
+
+def _parities() -> list[Column]:
+    """Four longs, in which each shingle of `s` flips one of 256 bits.
+
+    Shingles of both of two sets cancel out, so the bits in which they differ are at most the shingles that only one has.
+    """
+    one = F.lit(1).cast("long")
+    flip = lambda word: lambda bits, x: F.when(F.pmod(x, F.lit(4)) == word, bits.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.shiftright(x, 2), F.lit(64)).cast("int")))).otherwise(bits)
+    return [F.aggregate("s", F.lit(0).cast("long"), flip(w)).alias(f"p{w}") for w in range(4)]
+
+
+def _across(open_units: DataFrame, sets: DataFrame, similarity: float, made: list[DataFrame]) -> DataFrame:
+    """(a, b): pairs of `open_units` (unit, cluster) of different clusters that can be similar: exact filters only.
+
+    Shingles are ordered from rare to common. A pair of sufficient similarity shares a shingle among the first ones of
+    the larger set (all but `similarity` of it) and among fewer first ones of the smaller set (all but the overlap that
+    two sets of its size need). So what many paragraphs share, such as a passage inside them, comes last and makes no
+    pairs. After the first shared shingle enough others must remain in both, and the sets' parities may differ in no
+    more bits than the shingles that two similar sets don't share. Of each shingle's units those of its largest cluster
+    are not compared with each other.
+    """
+    n = F.size("s")
+    marked = _kept(made, open_units.join(sets, "unit").select("unit", "cluster", n.alias("n"), "s", *_parities()), "open-sets")
+    tokens = marked.select("unit", F.explode("s").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"))
+    ordered = tokens.join(often, "token").groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("order"))  # one paragraph's shingles
+    parities = ["p0", "p1", "p2", "p3"]
+    size = F.col("n")
+    large = size - _ceil(size * similarity) + 1
+    small = size - _ceil(size * (2 * similarity / (1 + similarity))) + 1
+    first = _kept(made, ordered.join(marked, "unit").select("unit", "cluster", "n", *parities, F.posexplode(F.slice("order", 1, large)).alias("place", "t")).select("unit", "cluster", "n", *parities, "place", "t.token"), "probe")
+    by = first.groupBy("token", "cluster").agg(F.count("*").alias("k")).groupBy("token").agg(F.count("*").alias("clusters"), F.max_by("cluster", F.struct("k", "cluster")).alias("main"))
+    rows = _kept(made, first.join(by.where("clusters > 1").select("token", "main"), "token"), "shared-shingles")
+    p = rows.select("token", "main", *[F.col(x).alias(y) for x, y in (("unit", "c"), ("cluster", "cc"), ("n", "nc"), ("place", "ic"))], *[F.col(x).alias("c" + x) for x in parities])
+    i = rows.where(F.col("place") < small).select("token", (F.col("cluster") != F.col("main")).alias("aside"), *[F.col(x).alias(y) for x, y in (("unit", "d"), ("cluster", "cd"), ("n", "nd"), ("place", "id"))], *[F.col(x).alias("d" + x) for x in parities])
+    total = F.col("nc") + F.col("nd")
+    overlap = total * (similarity / (1 + similarity)) - 1e-9
+    apart = sum((F.bit_count(F.col("c" + x).bitwiseXOR(F.col("d" + x))) for x in parities), F.lit(0))
+    fit = (
+        (F.col("cc") != F.col("cd")) & (F.col("nd") <= F.col("nc")) & (F.col("nd") >= similarity * F.col("nc") - 1e-9)
+        & (F.least(F.col("nc") - F.col("ic"), F.col("nd") - F.col("id")) >= overlap) & (apart <= total - 2 * overlap)
+    )
+    one = p.where("cc <> main").join(i, "token").where(fit).select("c", "d")
+    two = p.where("cc = main").join(i.where("aside"), "token").where(fit).select("c", "d")
+    return one.unionByName(two).select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
+
+
+def links(found: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, made: list[DataFrame] | None = None) -> DataFrame:
+    """(a, b): verified links that connect whatever paragraphs share a band and are similar.
+
+    `made` collects the tables written on the way, which the caller may delete when it has the links.
+    """
+    made = [] if made is None else made
+    paragraphs = found.where(F.size("bands") > 0).select("unit", "key", "start", "end", "bands").dropDuplicates(["unit"])
+    rows = paragraphs.select("unit", F.explode("bands").alias("band"))
     first = rows.groupBy("band").agg(F.min("unit").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
-    members = written(rows.join(first, "band").select("band", "a", F.col("unit").alias("b")), "members")
-    one = F.min(F.struct("key", "start", "end")).alias("at")
-    used = members.select(F.col("b").alias("unit")).distinct()
-    wanted = banded.join(used, "unit", "left_semi").groupBy("unit").agg(one).select("unit", "at.key", "at.start", "at.end")
-    sets = written(_shingle_sets(docs, wanted), "shingle-sets")
-    near = written(_verified(members.where("a <> b").select("a", "b").distinct(), sets, similarity), "near")
-    far = members.where("a <> b").join(near, ["a", "b"], "left_anti").select("band", F.col("b").alias("c"))
-    rest = far.join(members.select("band", "a", F.col("b").alias("d")), "band").where("c <> d AND d <> a").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
-    return near.unionByName(_verified(rest, sets, similarity)).distinct()
+    members = _kept(made, rows.join(first, "band").select("band", "a", "unit").distinct(), "members")
+    used = members.select("unit").distinct()
+    sets = _kept(made, _shingle_sets(docs, paragraphs.drop("bands").join(used, "unit", "left_semi")), "shingle-sets")
+    near = _kept(made, _verified(members.where("a <> unit").select("a", F.col("unit").alias("b")).distinct(), sets, similarity), "near")
+    clusters = _kept(made, components(near), "clusters")
+    named = members.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select("band", "unit", F.coalesce("root", "unit").alias("cluster"))
+    mixed = named.groupBy("band").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("band")
+    open_units = _kept(made, named.join(mixed, "band", "left_semi").select("unit", "cluster").distinct(), "open")
+    return near.unionByName(_verified(_across(open_units, sets, similarity, made), sets, similarity)).distinct()
 
 
 def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -163,7 +220,10 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
     found = written(_all_units(rows), "units")
-    linked = written(components(links(found, rows.select("key", "text"), similarity)), "clusters")
+    made: list[DataFrame] = []
+    linked = written(components(links(found, rows.select("key", "text"), similarity, made)), "clusters")
+    for df in made:
+        forget(df)
     sizes = found.groupBy("unit").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     named = sizes.join(linked.withColumnRenamed("node", "unit"), "unit", "left").select("unit", "low", "high", F.coalesce("root", "unit").alias("cluster"))
     joined = named.groupBy("cluster").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("high")).where(F.col("first_doc_id") < F.col("high"))
