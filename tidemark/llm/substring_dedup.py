@@ -8,8 +8,8 @@ Units of a text are
   that stand inside longer paragraphs, by exact equality.
 
 Equal units are one class from the start, so copies cost no pairs. Of paragraphs that share a band, all are compared with
-the band's first one, so a large group of near copies takes as many comparisons as it has members. Where a band then
-still holds several clusters, its paragraphs are compared across clusters by an exact prefix filter, so no link between
+the band's first one and, where several clusters remain, with a few more, so a large group of near copies takes a few
+times as many comparisons as it has members. Where a band then still holds several clusters, its paragraphs are compared across clusters by an exact prefix filter, so no link between
 clusters is lost. The similarity is the exact Jaccard coefficient of the shingle sets, 0.8 or more. Components of verified links are clusters, and a cluster counts if it has
 two documents or more. The smallest document id keeps its text; the others' spans are removals.
 
@@ -36,6 +36,8 @@ SIMILARITY = 0.8
 MIN_WORDS = 20
 BANDS, ROWS = 10, 4
 WINDOW, BLOCK = 20, 24
+#: Further paragraphs of a band with which all others of it are compared, before the exact search between clusters.
+PIVOTS = 4
 
 _RNG = np.random.default_rng(77)
 _TIMES = (_RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * 2 + 1).astype(np.uint32)
@@ -204,11 +206,23 @@ def links(found: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, mad
     used = members.select("unit").distinct()
     sets = _kept(made, _shingle_sets(docs, paragraphs.drop("bands").join(used, "unit", "left_semi")), "shingle-sets")
     near = _kept(made, _verified(members.where("a <> unit").select("a", F.col("unit").alias("b")).distinct(), sets, similarity), "near")
+    members = members.select("band", "unit")
+    open_units = _open(members, near, made)
+    # a few more pivots join most of what the first left apart, as many comparisons as members each
+    picks = [F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "cluster")).alias(f"p{k}") for k in range(PIVOTS)]
+    pivots = open_units.groupBy("band").agg(*picks).select("band", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
+    pairs = open_units.join(pivots, "band").where("cluster <> p.cluster").select(F.least("unit", "p.unit").alias("a"), F.greatest("unit", "p.unit").alias("b")).distinct()
+    near = _kept(made, near.unionByName(_verified(pairs, sets, similarity)).distinct(), "near")
+    apart = _kept(made, _open(members, near, made).select("unit", "cluster").distinct(), "apart")
+    return near.unionByName(_verified(_across(apart, sets, similarity, made), sets, similarity)).distinct()
+
+
+def _open(members: DataFrame, near: DataFrame, made: list[DataFrame]) -> DataFrame:
+    """(band, unit, cluster) of the bands whose paragraphs the links `near` leave in several clusters."""
     clusters = _kept(made, components(near), "clusters")
     named = members.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select("band", "unit", F.coalesce("root", "unit").alias("cluster"))
     mixed = named.groupBy("band").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("band")
-    open_units = _kept(made, named.join(mixed, "band", "left_semi").select("unit", "cluster").distinct(), "open")
-    return near.unionByName(_verified(_across(open_units, sets, similarity, made), sets, similarity)).distinct()
+    return _kept(made, named.join(mixed, "band", "left_semi"), "open")
 
 
 def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
