@@ -59,11 +59,10 @@ def test_links_match_brute_force(spark):
     name = {int(S.units(t)[0][0][0].astype(np.int64)): k for k, t in enumerate(texts)}
     got = {tuple(sorted((name[r.node], name[r.root]))) for r in S.components(S.links(found, df)).collect()}
     root = list(range(len(texts)))
+    similar = [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8]
     for _ in texts:
-        for a in range(len(texts)):
-            for b in range(a):
-                if jaccard(texts[a], texts[b]) >= 0.8:
-                    root[a] = root[b] = min(root[a], root[b])
+        for a, b in similar:
+            root[a] = root[b] = min(root[a], root[b])
     groups = lambda pairs: {frozenset(x for x in range(len(texts)) if pairs[x] == r) for r in set(pairs.values())}
     mine = {k: k for k in range(len(texts))}
     for _ in texts:
