@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.versioned import final_latest, first_wins
 
 #: Later sources win at equal slots.
-SOURCES = ("metaplex", "standalone", "embedded")
+SOURCES = ("program", "standalone", "embedded")
 FIELDS = ("name", "symbol", "uri", "update_authority", "is_mutable", "token_standard", "seller_fee_basis_points", "creators")
 
 

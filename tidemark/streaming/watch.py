@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,6 +147,7 @@ class Watch:
         if active is None:  # nothing serves yet, so there is nothing to wait for
             j.cutover = {"active": None, "staging": new.name}
         self.save()
+        shutil.rmtree(at, ignore_errors=True)  # the decoded records have done their work
         return f"full {load['slot']}"
 
     def _append(self, generation: Generation, records: DataFrame, slot: int, batch: str) -> None:
