@@ -104,3 +104,19 @@ def test_traversal_follows_the_longest_suffix():
         state = hit[1] if hit else 0
     assert abs(auto.score(words, logs) - want) < 1e-9
     assert auto.score(words, logs) > sum(logs)
+
+
+@pytest.mark.parametrize("block_bytes", [900, 1 << 25])
+def test_scores_are_those_of_the_model_of_all_ngrams(spark, block_bytes):
+    rng = random.Random(4)
+    phrases = [" ".join(f"w{rng.randrange(3000)}" for _ in range(9)) for _ in range(60)]
+    rows = [(k, " ".join(rng.choice([*phrases, "a b", f"w{rng.randrange(3000)}"]) for _ in range(rng.randrange(8)))) for k in range(150)]
+    rows += [(500, ""), (501, "W1 w2"), (502, "never seen words")]
+    auto, c = model([t for i, t in rows if not held(i)], None)
+    assert auto.distinct > 400 and sum(held(i) for i, _ in rows) > 9
+    want = {}
+    for i, t in rows:
+        logs = [auto.unigram(c[w]) for w in split(t)]
+        want[i] = auto.score([(w or "").encode() for w in split(t)], logs)
+    got = {r.doc_id: r.score for r in lm_score.scores(spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS), block_bytes=block_bytes).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)

@@ -1,22 +1,25 @@
 """Language-model scores by a weighted backoff automaton.
 
 Tokens are words (A-Z lower-cased, split at ASCII white space) and an end for each text. The model's unigrams are all
-words of the training rows with additive smoothing. Above them stand bigrams among the HEAD most frequent words and
-trigrams among the HEAD3 most frequent, with absolute discounting. Each context is a state, each seen n-gram an arc with
-its log-probability to the state of the longest known suffix, and each state has a failure arc, weighted so that
-probabilities sum to one, to the state of the next shorter context. A text is scored by one traversal from left to
-right, which carries the state and sums what it passes.
+words of the training rows with additive smoothing. Above them stand all their bigrams and trigrams with absolute
+discounting. Each context is a state, each seen n-gram an arc with its log-probability to the state of the longest known
+suffix, and each state has a failure arc, weighted so that probabilities sum to one, to the state of the next shorter
+context. A text is scored by a traversal from left to right, which sums what it passes.
 
 What grows with the corpus never meets in one place:
 
-1. Words are counted where rows are read and the counts summed by a hash of the word.
-2. The most frequent words come to the driver (HEAD of them), their n-grams are counted likewise. These make the upper
-   states of the automaton, whose number is bounded by HEAD and HEAD3.
-3. Rows are dealt into blocks of about BLOCK_BYTES. Each block asks for the counts of its different words by a join and
-   gets them beside its rows: the part of the automaton's root that the block can reach.
+1. Rows are dealt into blocks, PARTS of them for BLOCK_BYTES of text. A block counts its own n-grams and sends each
+   different one once, with its count, to the bucket of its hash, so a frequent n-gram costs a bucket one entry for each
+   block. There is a bucket for every two blocks.
+2. A bucket sums the counts and answers for what several blocks hold; of what one block alone holds, that block's count
+   is the corpus's. The bucket also names one owner of each n-gram.
+3. Each block sums, over the n-grams that it owns, what the failure arc of their context needs: the number of different
+   followers and their lower counts. Contexts that several blocks hold are summed by their buckets.
+4. So each block has the arcs and failure weights that its texts can reach, as arrays, and all its places traverse
+   together: those without an arc at a state pass its failure arc.
 
-So a word's counts are exact whatever its frequency, and frequent words cost one row for each block. Words are matched
-by 64-bit hashes; a block that misses a word it asked for stops the job rather than give a wrong score.
+Every count is an exact integer whatever its frequency, so no result depends on how rows are dealt. N-grams are matched
+by 64-bit hashes.
 
 Defined results: null texts count as empty; an empty text is the end alone. Without training rows the base gives every
 token log10(0.5/0.5) = 0. Texts count whole. Each row gives one result row, also repeated ones; an empty table an empty
@@ -26,26 +29,28 @@ result. Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, written
 
-HEAD = 256
-HEAD3 = 32
+#: Bounds of the words whose pairs and triples the model holds: there are none.
+HEAD, HEAD3 = None, math.inf
 DISCOUNT = 0.5
 ADD = 0.5
 BLOCK_BYTES = 32 << 20
-#: Different words that a worker remembers while it counts; when full it hands on what it has.
-REMEMBER = 500_000
-END = b""
+#: Blocks that BLOCK_BYTES of text make, as a block's n-grams take several times the room of its text.
+PARTS = 4
+START, END = b" ", b""
+SIZES = (1, 2, 3)
+_TIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -53,9 +58,8 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def word_hash(w: bytes) -> int:
-    h = xxhash.xxh64_intdigest(w)
-    return h - (1 << 64) if h >> 63 else h
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 @dataclass
@@ -138,150 +142,287 @@ def build(head: list[tuple[bytes, int]], texts: int, total: int, distinct: int,
     return auto
 
 
-def _count_words(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+def train(rows: DataFrame) -> tuple[Automaton, Counter]:
+    """The whole automaton of the rows' `text` and its word counts, gathered in the driver: for tables that fit it.
 
-        def out() -> pa.RecordBatch:
-            h = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(list(seen.values()), pa.int64())], names=["h", "n"])
+    `scores` never gathers; it gives the scores of this automaton.
+    """
+    words, pairs, triples, texts = Counter(), Counter(), Counter(), 0
+    for row in rows.select(F.col("text").cast("binary")).toLocalIterator():
+        ws = [START, *tokens(row[0]), END]
+        texts += 1
+        words.update(ws[1:])
+        pairs.update(zip(ws, ws[1:]))
+        triples.update(zip(ws[1:], ws[2:], ws[3:]))
+    head = [(w, n) for w, n in words.most_common() if w != END]
+    place = {w: k for k, (w, _) in enumerate(head)} | {END: len(head), START: len(head) + 1}
+    named = [{tuple(place[w] for w in gram): n for gram, n in grams.items()} for grams in (pairs, triples)]
+    return build(head, texts, sum(words.values()), len(words), *named), words
+
+
+def _join(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    h = a * _TIMES[size - 2]
+    h += b
+    h ^= h >> np.uint64(31)
+    h *= _TIMES[1]
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Whole numbers as planes of bytes, as many as the largest needs, each compressed by itself; their sizes come first."""
+    if not len(x):
+        return b""
+    planes = max(1, (int(x.max()).bit_length() + 7) // 8)
+    parts = [pa.compress(row.tobytes(), "zstd", asbytes=True) for row in x.astype("<u8").view(np.uint8).reshape(-1, 8).T[:planes]]
+    return np.array([len(x), planes, *map(len, parts)], "<u4").tobytes() + b"".join(parts)
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    if not b:
+        return np.zeros(0, np.uint64)
+    n, planes = np.frombuffer(b, "<u4", 2).tolist()
+    out, at = np.zeros((n, 8), np.uint8), 8 + 4 * planes
+    for k, size in enumerate(np.frombuffer(b, "<u4", planes, 8).tolist()):
+        out[:, k] = np.frombuffer(pa.decompress(b[at : at + size], n, "zstd", asbytes=True), np.uint8)
+        at += size
+    return out.view("<u8").ravel()
 
-        for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                seen.update(tokens(text))
-                seen[END] += 1
-                if len(seen) > REMEMBER:
-                    yield out()
-                    seen.clear()
-        if seen:
-            yield out()
-
-    return rows.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
-
-
-def _count_head(rows: DataFrame, head: list[int]) -> DataFrame:
-    """(size, gram, n): n-grams of the words whose hashes are `head`, as places in it; see `build` for the rest."""
-    base = len(head) + 2
-    index = {h: k for k, h in enumerate(head)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        two, three = np.zeros(base * base, np.int64), np.zeros(HEAD3**2 * base, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                ids: list[int] = []
-                for text in batch.column(0)[at : at + 128].cast(pa.binary()).to_pylist():
-                    # texts stand one after another: end, then start, is no pair of any
-                    ids.append(base - 1)
-                    ws = tokens(text)
-                    try:
-                        ids += [known[w] for w in ws]
-                    except KeyError:
-                        known.update((w, index.get(word_hash(w), -1)) for w in set(ws) if w not in known)
-                        ids += [known[w] for w in ws]
-                    ids.append(base - 2)
-                if len(known) > REMEMBER:
-                    kept = {w: k for w, k in known.items() if k >= 0}
-                    known.clear()
-                    known.update(kept)
-                row = np.asarray(ids, np.int64)
-                a, b = row[:-1], row[1:]
-                two += np.bincount((a * base + b)[(a >= 0) & (b >= 0) & (a != base - 2)], minlength=len(two))
-                a, b, c = row[:-2], row[1:-1], row[2:]
-                ok = (a >= 0) & (a < HEAD3) & (b >= 0) & (b < HEAD3) & ((c >= 0) & (c < HEAD3) | (c == base - 2)) & (a < base - 2) & (b < base - 2)
-                three += np.bincount(((a * HEAD3 + b) * base + c)[ok], minlength=len(three))
-        for size, found in ((2, two), (3, three)):
-            at = np.flatnonzero(found)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size, np.int32)), pa.array(at), pa.array(found[at])], names=["size", "gram", "n"])
-
-    return rows.select("text").mapInArrow(run, "size int, gram long, n long").groupBy("size", "gram").agg(F.sum("n").alias("n"))
-
-
-def train(rows: DataFrame) -> tuple[Automaton, DataFrame]:
-    """The automaton of the training rows' `text` and the written table (h, c) of all their words."""
-    counts = written(_count_words(rows), "word-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where(F.col("h") != word_hash(END)).orderBy(F.desc("c"), "h").limit(HEAD).collect()
-    texts = (counts.where(F.col("h") == word_hash(END)).first() or {"c": 0})["c"]
-    grams = _count_head(rows, [r["h"] for r in top]).collect()  # at most (HEAD + 2)^2 + HEAD3^2 (HEAD + 2) rows
-    base = len(top) + 2
-    pairs = {divmod(r["gram"], base): r["n"] for r in grams if r["size"] == 2}
-    triples = {(*divmod(r["gram"] // base, HEAD3), r["gram"] % base): r["n"] for r in grams if r["size"] == 3}
-    name = _names(rows, [r["h"] for r in top])
-    head = [(name[r["h"]], r["c"]) for r in top]
-    return build(head, texts, total, distinct, pairs, triples), counts
-
-
-def _names(rows: DataFrame, head: list[int]) -> dict[int, bytes]:
-    """The words that have the hashes `head`; each partition gives each at most once."""
-    wanted = frozenset(head)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = set(wanted)
-        for batch in batches:
-            if not left:
-                continue
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                found = {h: w for w in set(tokens(text)) if (h := word_hash(w)) in left}
-                if found:
-                    left -= found.keys()
-                    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["h", "w"])
-                    if not left:
-                        break
 
-    got = rows.select("text").mapInArrow(run, "h long, w binary").groupBy("h").agg(F.first("w").alias("w"))
-    return {r["h"]: bytes(r["w"]) for r in got.collect()}
+def _pack_sorted(h: np.ndarray) -> bytes:
+    return _pack(np.diff(h, prepend=np.uint64(0)))
 
 
-def _requests(placed: DataFrame) -> DataFrame:
-    """(block, h): the different words of each block."""
+def _unpack_sorted(b: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(b), dtype=np.uint64)
 
-    def run(rows: pa.Table) -> pa.Table:
-        seen: set[bytes] = {END}
-        for text in rows.column("text").cast(pa.binary()).to_pylist():
-            seen.update(tokens(text))
-        h = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
-        return pa.table({"block": pa.array(np.full(len(h), rows.column("block")[0].as_py(), np.int64)), "h": pa.array(h)})
 
-    return placed.groupBy("block").applyInArrow(run, "block long, h long")
+def _edges(h: np.ndarray, buckets: int) -> list[int]:
+    """Where each bucket begins in the sorted hashes `h`, and their end."""
+    first = np.array([-(-(k << 32) // buckets) << 32 for k in range(buckets)], np.uint64)
+    return [*np.searchsorted(h, first).tolist(), len(h)]
+
+
+class _Block:
+    """The n-grams of a block's texts. For each size: `h` the sorted hashes, `n` their training counts, `first` a place
+    where each begins, `at` the n-gram that begins at each place (where one does). Each text stands as start, words, end.
+    """
+
+    def __init__(self, rows: pa.Table):
+        known: defaultdict[bytes, int] = defaultdict()
+        known.default_factory = known.__len__
+        known[START], known[END] = 0, 1
+        parts = []
+        for batch in rows.select(["text"]).to_batches(256):
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                parts.append(np.array([0, *map(known.__getitem__, tokens(text)), 1], np.int32))
+        size = np.array([len(x) for x in parts])
+        ids = np.concatenate(parts)
+        del parts
+        self.starts = np.cumsum(size) - size
+        self.size = size - 1
+        trained = np.repeat(~rows.column("held_out").to_numpy(), size)
+        hashes = _hashes(list(known))
+        del known
+        end = ids == 1
+        inner = np.flatnonzero(~end).astype(np.int32)
+        self.h, self.n, self.first, self.at = {}, {}, {}, {}
+        h, where = np.unique(hashes, return_inverse=True)
+        self._put(1, h, None, where.astype(np.int32)[ids], trained)
+        words = hashes[ids]
+        self._lay(2, inner, _join(words[inner], words[inner + 1], 2), trained)
+        inner = inner[(ids[inner] != 0) & ~end[inner + 1]]
+        h = _join(_join(words[inner], words[inner + 1], 2), words[inner + 2], 3)
+        del words
+        self._lay(3, inner, h, trained)
+        #: Whether each pair is the context of triples.
+        self.context = (ids[self.first[2]] != 0) & ~end[self.first[2] + 1]
+
+    def _lay(self, size: int, places: np.ndarray, h: np.ndarray, trained: np.ndarray) -> None:
+        # np.unique would hold several times as much
+        order = np.argsort(h).astype(np.int32)
+        h = h[order]
+        new = np.ones(len(h), bool)
+        np.not_equal(h[1:], h[:-1], out=new[1:])
+        places = places[order]
+        at = np.full(len(trained), -1, np.int32)
+        at[places] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        self._put(size, h[new], places[new], at, trained)
+
+    def _put(self, size: int, h: np.ndarray, first: np.ndarray | None, at: np.ndarray, trained: np.ndarray) -> None:
+        self.h[size], self.first[size], self.at[size] = h, first, at
+        self.n[size] = np.bincount(at[trained & (at >= 0)], minlength=len(h)).astype(np.int32)
+
+    def answered(self, rows: list[dict], buckets: int) -> None:
+        """Take the counts of the corpus: `c`; `own`, whether this block owns an n-gram; `shared`, whether others hold it."""
+        self.total = sum(r["total"] for r in rows)
+        self.distinct = sum(r["distinct"] for r in rows)
+        self.c = {k: n.astype(np.int64) for k, n in self.n.items()}
+        self.n = {}
+        self.own = {k: c > 0 for k, c in self.c.items()}
+        self.shared = {k: np.zeros(len(c), bool) for k, c in self.c.items()}
+        edges = {k: _edges(h, buckets) for k, h in self.h.items()}
+        seen = 0
+        for r in rows:
+            k, a, b = r["size"], edges[r["size"]][r["bucket"]], edges[r["size"]][r["bucket"] + 1]
+            several = np.unpackbits(np.frombuffer(r["x"], np.uint8), count=b - a).astype(bool)
+            many = int(several.sum())
+            self.shared[k][a:b] = several
+            self.c[k][a:b][several] = _unpack(r["y"]).astype(np.int64)
+            self.own[k][a:b][several] = np.unpackbits(np.frombuffer(r["z"], np.uint8), count=many).astype(bool)
+            seen += 1
+        if seen != len(SIZES) * buckets:
+            raise ValueError(f"{seen} answers for {buckets} buckets")
+
+    def contexts(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For words and for pairs: which ones to ask for, and of all of them, over the owned n-grams that follow,
+        their number and the sum of the counts of what they are without their first word."""
+        out = {}
+        for size in (1, 2):
+            first = self.first[size + 1][self.own[size + 1]]
+            context, lower = self.at[size][first], self.at[size][first + 1]
+            m = len(self.h[size])
+            ask = np.flatnonzero(self.shared[size] & self.context) if size == 2 else np.flatnonzero(self.shared[size])
+            out[size] = ask, np.bincount(context, minlength=m), np.bincount(context, self.c[size][lower], m).astype(np.int64)
+        return out
+
+    def logs(self, rows: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each place: whether its word is known, its unigram value and the value that the traversal adds there."""
+        sums = self.contexts()
+        for k, (ask, types, lower) in sums.items():
+            edges = _edges(self.h[k][ask], buckets)
+            for r in rows:
+                if r["size"] == k:
+                    mine = ask[edges[r["bucket"]] : edges[r["bucket"] + 1]]
+                    types[mine], lower[mine] = _unpack(r["x"]), _unpack(r["y"])
+        c1, c2, c3 = (self.c[k] for k in SIZES)
+        room = self.total + ADD * (self.distinct + 1)
+        one = np.log10((c1 + ADD) / room)
+        tiny = 1e-12
+        with np.errstate(divide="ignore", invalid="ignore"):
+            _, types, lower = sums[1]
+            # start is a context, counted in c1 like a word, and no follower
+            fail1 = np.where(c1 > 0, np.log10(np.maximum(tiny, DISCOUNT * types / c1) / np.maximum(tiny, 1 - (lower + ADD * types) / room)), 0.0)
+            u, v = self.at[1][self.first[2]], self.at[1][self.first[2] + 1]
+            two = np.where(c2 > 0, np.log10((c2 - DISCOUNT) / c1[u]), fail1[u] + one[v])
+            _, types, lower = sums[2]
+            fail2 = np.where((c2 > 0) & self.context, np.log10(np.maximum(tiny, DISCOUNT * types / c2) / np.maximum(tiny, 1 - (lower - DISCOUNT * types) / c1[v])), 0.0)
+            u, v = self.at[2][self.first[3]], self.at[2][self.first[3] + 1]
+            three = np.where(c3 > 0, np.log10((c3 - DISCOUNT) / c2[u]), fail2[u] + two[v])
+        known, base = c1[self.at[1]] > 0, one[self.at[1]]
+        begin = np.zeros(len(base), bool)
+        begin[self.starts] = True
+        known[begin], base[begin] = False, 0.0
+        out = np.zeros(len(base))
+        for values, k in ((two, 2), (three, 3)):
+            places = np.flatnonzero(self.at[k] >= 0)
+            out[places + k - 1] = values[self.at[k][places]]
+        return known, base, out
+
+
+_SENT = "bucket int, block long, size int, h binary, n binary, lower binary"
+_ANSWER = "block long, bucket int, size int, step int, total long, distinct long, x binary, y binary, z binary"
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [x.strip().split() for x in schema.split(",")]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return pa.table({name: pa.array(list(column), types[kind]) for (name, kind), column in zip(fields, columns)})
+
+
+def _count(rows: pa.Table) -> pa.Table:
+    """A bucket's answers to the counts it was sent."""
+    start = _hashes([START])[0]
+    out = []
+    for size in SIZES:
+        part = rows.filter(pc.equal(rows.column("size"), size))
+        hs, ns = [_unpack_sorted(b.as_py()) for b in part.column("h")], [_unpack(b.as_py()) for b in part.column("n")]
+        part = part.select(["block", "bucket"]).to_pylist()
+        cuts = np.cumsum([0, *map(len, hs)])
+        h, n = np.concatenate(hs), np.concatenate(ns).astype(np.int32)
+        del hs, ns
+        order = np.argsort(h).astype(np.int32)
+        h = h[order]
+        new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
+        first, group = np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - np.int32(1)
+        c = np.add.reduceat(n[order], first, dtype=np.int64) if len(h) else n
+        many = np.diff(first, append=len(h)) > 1
+        counted = np.flatnonzero(n[order] > 0)
+        g = group[counted]
+        own, shared, sums = np.zeros(len(h), bool), np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+        own[order[counted[np.concatenate(([True], g[1:] != g[:-1]))] if len(g) else counted]] = True
+        shared[order], sums[order] = many[group], c[group]
+        word = h[first] != start
+        total, distinct = (int(c[word].sum()), int((c[word] > 0).sum())) if size == 1 else (0, 0)
+        for r, a, b in zip(part, cuts, cuts[1:]):
+            several = shared[a:b]
+            out.append((r["block"], r["bucket"], size, 1, total, distinct, np.packbits(several).tobytes(), _pack(sums[a:b][several]), np.packbits(own[a:b][several]).tobytes()))
+    return _table(out, _ANSWER)
+
+
+def _sum_contexts(rows: pa.Table) -> pa.Table:
+    """A bucket's answers to the sums of contexts it was sent."""
+    out = []
+    sent = rows.to_pylist()
+    for size in (1, 2):
+        part = [r for r in sent if r["size"] == size]
+        hs = [_unpack_sorted(r["h"]) for r in part]
+        cuts = np.cumsum([0, *map(len, hs)])
+        _, group = np.unique(np.concatenate(hs), return_inverse=True)
+        # sums of counts stay exact in doubles up to 2^53
+        sums = [np.bincount(group, np.concatenate([_unpack(r[x]) for r in part]))[group].astype(np.int64) for x in ("n", "lower")] if len(group) else [group, group]
+        for r, a, b in zip(part, cuts, cuts[1:]):
+            out.append((r["block"], r["bucket"], size, 2, 0, 0, _pack(sums[0][a:b]), _pack(sums[1][a:b]), b""))
+    return _table(out, _ANSWER)
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Train on the rows whose fold isn't `held`, score all."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), (fold(F.col(id_col), folds) == held).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    auto, counts = train(rows.where(~F.col("held_out")))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
+    blocks = PARTS * max(1, -(-size // block_bytes))
+    buckets = blocks // 2
     placed = rows.withColumn("block", F.pmod(F.xxhash64("id", F.length("text")), F.lit(blocks)))
-    answers = _requests(placed).join(counts, "h", "left").select("block", "h", F.coalesce("c", F.lit(0)).cast("long").alias("c"))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        count = dict(zip(right.column("h").to_pylist(), right.column("c").to_pylist()))
-        logs: dict[bytes, float] = {}
-        never = auto.unigram(0)
-        out: list[tuple] = []
-
-        def log(w: bytes) -> float:
-            return auto.unigram(count[word_hash(w)])
-
-        logs[END] = log(END) if left.num_rows else never
-        for text in left.column("text").cast(pa.binary()).to_pylist():
-            ws = tokens(text)
-            ws.append(END)
-            try:
-                ps = [logs[w] for w in ws]
-            except KeyError:
-                logs.update((w, log(w)) for w in set(ws) if w not in logs)
-                ps = [logs[w] for w in ws]
-            known = len(ps) - ps.count(never) if auto.total else 0
-            out.append((len(ps), known, sum(ps), auto.score(ws, ps)))
-        n, known, base, score = zip(*out) if out else ((),) * 4
+
+    def send(left: pa.Table) -> pa.Table:
+        block, out = _Block(left), []
+        number = left.column("block")[0].as_py()
+        for k in SIZES:
+            edges = _edges(block.h[k], buckets)
+            for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
+                out.append((bucket, number, k, _pack_sorted(block.h[k][a:b]), _pack(block.n[k][a:b]), b""))
+        return _table(out, _SENT)
+
+    def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _table([], _SENT)
+        block, out = _Block(left), []
+        number = left.column("block")[0].as_py()
+        block.answered(right.to_pylist(), buckets)
+        for k, (ask, types, lower) in block.contexts().items():
+            edges = _edges(block.h[k][ask], buckets)
+            for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
+                mine = ask[a:b]
+                out.append((bucket, number, k, _pack_sorted(block.h[k][mine]), _pack(types[mine]), _pack(lower[mine])))
+        return _table(out, _SENT)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows:
+            block, answers = _Block(left), right.to_pylist()
+            block.answered([r for r in answers if r["step"] == 1], buckets)
+            known, base, value = (np.add.reduceat(x, block.starts, dtype=kind) for x, kind in zip(block.logs([r for r in answers if r["step"] == 2], buckets), (np.int64, float, float)))
+            n, total = block.size, block.total
+        else:
+            n, known, base, value, total = (), (), (), (), 0
         return pa.table({
             "id": left.column("id"), "held_out": left.column("held_out"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
-            "train_tokens": pa.array([auto.total] * len(out), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
+            "train_tokens": pa.array([total] * len(n), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(value, pa.float64()),
         })
 
+    counted = written(placed.groupBy("block").applyInArrow(send, _SENT).groupBy("bucket").applyInArrow(_count, _ANSWER), "ngram-counts")
+    asked = placed.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(send_contexts, _SENT)
+    answers = counted.unionByName(asked.groupBy("bucket").applyInArrow(_sum_contexts, _ANSWER))
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    out = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
     return out.withColumnRenamed("id", id_col)
