@@ -62,3 +62,23 @@ def test_rows_that_need_care(spark, sf_dir):
     assert steps["benchmark_decontamination"](spark, docs, sf_dir).count() == 5
     assert steps["secret_scans"](spark, docs, sf_dir).count() == 5
     assert steps["best_fit_packing"](spark, docs, sf_dir).count() == 5
+
+
+def test_near_copies_of_similarity_from_a_threshold_go(spark, sf_dir):
+    rng = random.Random(11)
+    sets = lambda t: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)}
+    alike = lambda a, b: len(sets(a) & sets(b)) / len(sets(a) | sets(b))
+    rows, gone, near = [], set(), []
+    for k in range(80):
+        base = " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 300)))
+        copy = base.split()
+        for _ in range(1 + k % 8):
+            copy[rng.randrange(len(copy))] = f"new{rng.randrange(10**6)}"
+        copy = " ".join(copy).upper()
+        rows += [(k, base, "aa", "s", 1), (1000 + k, copy, "aa", "s", 1)]
+        if alike(base, copy) >= 0.8:
+            gone.add(1000 + k)
+            near.append(alike(base, copy))
+    assert 20 < len(gone) < 75 and min(near) < 0.83
+    stay = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, spark.createDataFrame(rows, DOCS), sf_dir)
+    assert {r.doc_id for r in stay.collect()} == {r[0] for r in rows} - gone

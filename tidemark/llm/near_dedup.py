@@ -6,6 +6,11 @@ less share a key (each reaches it by at most one flip), and no others meet under
 give every link. A key holds at most 65 different fingerprints, whatever the data: copies were grouped before.
 Neighbours in a key are linked in order, not all with all; complete distances are verified; components follow.
 
+`representatives` follows another rule, the pipeline's: texts whose sets of five-word shingles have a Jaccard similarity of
+0.8 or more are one group. Its fingerprints are MinHash bands of the whole text, BANDS of them, in which texts of
+similarity 0.8 meet with probability 0.99997; the similarity is verified exactly (see `substring_dedup.links`). Texts of
+fewer than five words are near only to equal words.
+
 Defined results: null and empty texts have no words and the fingerprint zero, which links like any other. Fewer words
 than a shingle form one shingle. Repeated rows and ids give one result row for each input row. An empty table gives an
 empty result. Other columns are ignored, whatever their names.
@@ -13,11 +18,21 @@ empty result. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
-from tidemark.llm.common import PLAIN_WORD, ascii_lower, components, words, written
+from tidemark.llm import simhash, substring_dedup
+from tidemark.llm.common import PLAIN_WORD, ascii_lower, components, forget, words, written
+from tidemark.llm.lm_score import tokens
+
+SHINGLE = 5
+BANDS, ROWS = 20, 4
+_TIMES = np.random.default_rng(78).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -68,12 +83,65 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of `docs`, all their columns, that stay: of each component the one of smallest id, then text hash."""
-    fps = written(fingerprints(docs, id_col, text_col, size), "fingerprints")
-    least = fps.groupBy("fp").agg(F.min(F.struct("id", "text_hash")).alias("low"))
-    linked = components(links(least.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
-    by_root = least.join(linked, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("low").alias("low"))
+def _bands(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of each text's words, whether it has a shingle, and the band keys of those that have."""
+    known: dict[bytes, int] = {}
+    unit, has, shingles = np.zeros(len(texts), np.uint64), np.zeros(len(texts), bool), []
+    for k, text in enumerate(texts):
+        ws = tokens(text)
+        known.update((w, xxhash.xxh64_intdigest(w)) for w in set(ws) if w not in known)
+        h, n = np.fromiter((known[w] for w in ws), np.uint64, len(ws)), len(ws)
+        unit[k] = substring_dedup._runs(h, np.array([0]), np.array([n]))[0] if n else 0
+        if n >= SHINGLE:
+            has[k] = True
+            shingles.append(substring_dedup._runs(h, np.arange(n - SHINGLE + 1), np.arange(SHINGLE, n + 1)))
+    if not shingles:
+        return unit, has, np.zeros((0, BANDS), np.uint64)
+    size = np.array([len(x) for x in shingles])
+    x, begin = np.concatenate(shingles), np.cumsum(size) - size
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(size), axis=0)
+    for k in range(BANDS * ROWS):
+        v = x * _TIMES[k]
+        v ^= v >> np.uint64(32)
+        v *= _TIMES[k]
+        column = keys[:, k // ROWS]
+        column ^= np.minimum.reduceat(v, begin)
+        column *= substring_dedup._BASE
+        column ^= column >> np.uint64(31)
+    return unit, has, keys
+
+
+def _whole_texts(rows: DataFrame) -> DataFrame:
+    """unit, key, bands (none for texts of fewer words than a shingle), of each row's text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                unit, has, keys = _bands(part.column(2).cast(pa.binary()).to_pylist())
+                ends = np.concatenate(([0], np.cumsum(has * BANDS)))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(unit.view(np.int64)), lists], names=["id", "text_hash", "unit", "bands"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.select("id", "text_hash", "text").mapInArrow(run, f"id {kind}, text_hash long, unit long, bands array<long>")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
+    """The rows of `docs`, all their columns, that stay: of each group of near texts the one of smallest id, then text hash."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), ascii_lower(text).alias("text"))
+    found = written(_whole_texts(rows), "whole-texts")
+    texts = rows.select(F.col("text_hash").alias("key"), "text")
+    length = F.lit((1 << 31) - 1).cast("long")
+    units = found.select("unit", F.col("text_hash").alias("key"), F.lit(0).cast("long").alias("start"), length.alias("end"), "bands")
+    made: list[DataFrame] = []
+    linked = written(components(substring_dedup.links(units, texts, similarity, made)), "near-texts")
+    for df in made:
+        forget(df)
+    least = found.groupBy("unit").agg(F.min(F.struct("id", "text_hash")).alias("low"))
+    named = least.join(linked.withColumnRenamed("node", "unit"), "unit", "left")
+    by_root = named.groupBy(F.coalesce("root", "unit").alias("root")).agg(F.min("low").alias("low"))
     stay = by_root.select(F.col("low.id").alias("_id"), F.col("low.text_hash").alias("_hash"))
     rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     kept = rows.join(stay, rows[id_col].eqNullSafe(stay["_id"]) & (rows["_text_hash"] == stay["_hash"]), "left_semi")
