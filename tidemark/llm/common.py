@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 PLAIN_WORD = r"[^\x20\x09-\x0D]+"
 #: Words for shingles that should not depend on punctuation.
 LETTER_WORD = r"[\p{L}\p{N}]+"
+#: Spark's switch to delete a query's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back, which cuts its lineage; a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # once the table is there, nothing reads the shuffles that made it
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out

@@ -8,9 +8,10 @@ context. A text is scored by a traversal from left to right, which sums what it
 
 What grows with the corpus never meets in one place:
 
-1. Rows are dealt into blocks, PARTS of them for BLOCK_BYTES of text. A block counts its own n-grams and sends each
-   different one once, with its count, to the bucket of its hash, so a frequent n-gram costs a bucket one entry for each
-   block. There is a bucket for every two blocks.
+1. The rows of a partition are dealt, as they are read, into blocks of BLOCK_BYTES of text, which are written once as
+   numbers of words; texts are never shuffled. A block counts its own n-grams and sends each different one once, with its
+   count, to the bucket of its hash, so a frequent n-gram costs a bucket one entry for each block. Buckets grow in number
+   with the tokens.
 2. A bucket sums the counts and answers for what several blocks hold; of what one block alone holds, that block's count
    is the corpus's. The bucket also names one owner of each n-gram.
 3. Each block sums, over the n-grams that it owns, what the failure arc of their context needs: the number of different
@@ -29,25 +30,26 @@ result. Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, written
+from tidemark.llm.common import fold, forget, written
 
-#: Bounds of the words whose pairs and triples the model holds: there are none.
-HEAD, HEAD3 = None, math.inf
 DISCOUNT = 0.5
 ADD = 0.5
-BLOCK_BYTES = 32 << 20
-#: Blocks that BLOCK_BYTES of text make, as a block's n-grams take several times the room of its text.
-PARTS = 4
+#: Text of a block; its n-grams take several times as much room.
+BLOCK_BYTES = 8 << 20
+#: Blocks' worth of n-grams that a bucket sums, at about eight bytes of text a token.
+BUCKET_BLOCKS = 2
 START, END = b" ", b""
 SIZES = (1, 2, 3)
 _TIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -203,27 +205,62 @@ def _edges(h: np.ndarray, buckets: int) -> list[int]:
     return [*np.searchsorted(h, first).tolist(), len(h)]
 
 
+def _packed(rows: pa.Table, number: int) -> tuple:
+    """A block's row: its texts as numbers of the words in its own vocabulary."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(rows.column("text").combine_chunks()))
+    flat, parent = split.flatten(), pc.list_parent_indices(split)
+    real = pc.greater(pc.binary_length(flat), 0)
+    words = flat.filter(real).dictionary_encode()
+    size = np.bincount(parent.filter(real).to_numpy(zero_copy_only=False), minlength=rows.num_rows)
+    vocabulary = b" ".join(words.dictionary.cast(pa.binary()).to_pylist())
+    numbers = words.indices.to_numpy(zero_copy_only=False).astype(np.uint64)
+    return (
+        number, rows.column("id").to_pylist(), rows.column("held_out").to_pylist(), len(numbers) + rows.num_rows,
+        _pack(size.astype(np.uint64)), len(vocabulary), pa.compress(vocabulary, "zstd", asbytes=True), _pack(numbers),
+    )
+
+
+def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """A row for each run of rows of a partition that holds about `block_bytes` of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a retried task deals and numbers its rows anew, but only one attempt's file is ever read
+        number, have, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            bytes_of = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            at = 0
+            for k, n in enumerate(bytes_of.tolist(), 1):
+                size += n + 1
+                if size >= block_bytes:
+                    have.append(batch.slice(at, k - at))
+                    yield _table([_packed(pa.Table.from_batches(have), number)], _BLOCK).to_batches()[0]
+                    number, have, size, at = number + 1, [], 0, k
+            if at < batch.num_rows:
+                have.append(batch.slice(at))
+        if have:
+            yield _table([_packed(pa.Table.from_batches(have), number)], _BLOCK).to_batches()[0]
+
+    return rows.mapInArrow(run, _BLOCK)
+
+
 class _Block:
     """The n-grams of a block's texts. For each size: `h` the sorted hashes, `n` their training counts, `first` a place
     where each begins, `at` the n-gram that begins at each place (where one does). Each text stands as start, words, end.
     """
 
-    def __init__(self, rows: pa.Table):
-        known: defaultdict[bytes, int] = defaultdict()
-        known.default_factory = known.__len__
-        known[START], known[END] = 0, 1
-        parts = []
-        for batch in rows.select(["text"]).to_batches(256):
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                parts.append(np.array([0, *map(known.__getitem__, tokens(text)), 1], np.int32))
-        size = np.array([len(x) for x in parts])
-        ids = np.concatenate(parts)
-        del parts
-        self.starts = np.cumsum(size) - size
-        self.size = size - 1
-        trained = np.repeat(~rows.column("held_out").to_numpy(), size)
-        hashes = _hashes(list(known))
-        del known
+    def __init__(self, row: dict):
+        vocabulary = pa.decompress(row["vocabulary"], row["room"], "zstd", asbytes=True)
+        hashes = _hashes([START, END, *vocabulary.split()])
+        del vocabulary
+        words = _unpack(row["sizes"]).astype(np.int64)
+        size = words + 2
+        self.starts, self.size = np.cumsum(size) - size, words + 1
+        ids = np.empty(int(size.sum()), np.int32)
+        inside = np.ones(len(ids), bool)
+        inside[self.starts] = inside[self.starts + words + 1] = False
+        ids[self.starts], ids[self.starts + words + 1] = 0, 1
+        ids[inside] = _unpack(row["numbers"]).astype(np.int32) + np.int32(2)
+        trained = np.repeat(~np.array(row["held"], bool), size)
         end = ids == 1
         inner = np.flatnonzero(~end).astype(np.int32)
         self.h, self.n, self.first, self.at = {}, {}, {}, {}
@@ -255,8 +292,6 @@ class _Block:
 
     def answered(self, rows: list[dict], buckets: int) -> None:
         """Take the counts of the corpus: `c`; `own`, whether this block owns an n-gram; `shared`, whether others hold it."""
-        self.total = sum(r["total"] for r in rows)
-        self.distinct = sum(r["distinct"] for r in rows)
         self.c = {k: n.astype(np.int64) for k, n in self.n.items()}
         self.n = {}
         self.own = {k: c > 0 for k, c in self.c.items()}
@@ -271,8 +306,9 @@ class _Block:
             self.c[k][a:b][several] = _unpack(r["y"]).astype(np.int64)
             self.own[k][a:b][several] = np.unpackbits(np.frombuffer(r["z"], np.uint8), count=many).astype(bool)
             seen += 1
-        if seen != len(SIZES) * buckets:
-            raise ValueError(f"{seen} answers for {buckets} buckets")
+        asked = sum(a < b for e in edges.values() for a, b in zip(e, e[1:]))
+        if seen != asked:
+            raise ValueError(f"{seen} answers for {asked} messages")
 
     def contexts(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For words and for pairs: which ones to ask for, and of all of them, over the owned n-grams that follow,
@@ -286,7 +322,7 @@ class _Block:
             out[size] = ask, np.bincount(context, minlength=m), np.bincount(context, self.c[size][lower], m).astype(np.int64)
         return out
 
-    def logs(self, rows: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def logs(self, rows: list[dict], buckets: int, total: int, distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each place: whether its word is known, its unigram value and the value that the traversal adds there."""
         sums = self.contexts()
         for k, (ask, types, lower) in sums.items():
@@ -296,7 +332,7 @@ class _Block:
                     mine = ask[edges[r["bucket"]] : edges[r["bucket"] + 1]]
                     types[mine], lower[mine] = _unpack(r["x"]), _unpack(r["y"])
         c1, c2, c3 = (self.c[k] for k in SIZES)
-        room = self.total + ADD * (self.distinct + 1)
+        room = total + ADD * (distinct + 1)
         one = np.log10((c1 + ADD) / room)
         tiny = 1e-12
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -320,12 +356,12 @@ class _Block:
         return known, base, out
 
 
+_BLOCK = "block long, ids array<long>, held array<boolean>, tokens long, sizes binary, room long, vocabulary binary, numbers binary"
 _SENT = "bucket int, block long, size int, h binary, n binary, lower binary"
+_SCORE = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _ANSWER = "block long, bucket int, size int, step int, total long, distinct long, x binary, y binary, z binary"
-
-
 def _table(rows: list[tuple], schema: str) -> pa.Table:
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
     fields = [x.strip().split() for x in schema.split(",")]
     columns = zip(*rows) if rows else [()] * len(fields)
     return pa.table({name: pa.array(list(column), types[kind]) for (name, kind), column in zip(fields, columns)})
@@ -339,14 +375,16 @@ def _count(rows: pa.Table) -> pa.Table:
         part = rows.filter(pc.equal(rows.column("size"), size))
         hs, ns = [_unpack_sorted(b.as_py()) for b in part.column("h")], [_unpack(b.as_py()) for b in part.column("n")]
         part = part.select(["block", "bucket"]).to_pylist()
+        if not part:
+            continue
         cuts = np.cumsum([0, *map(len, hs)])
         h, n = np.concatenate(hs), np.concatenate(ns).astype(np.int32)
         del hs, ns
         order = np.argsort(h).astype(np.int32)
         h = h[order]
-        new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
+        new = np.concatenate(([True], h[1:] != h[:-1]))
         first, group = np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - np.int32(1)
-        c = np.add.reduceat(n[order], first, dtype=np.int64) if len(h) else n
+        c = np.add.reduceat(n[order], first, dtype=np.int64)
         many = np.diff(first, append=len(h)) > 1
         counted = np.flatnonzero(n[order] > 0)
         g = group[counted]
@@ -367,11 +405,13 @@ def _sum_contexts(rows: pa.Table) -> pa.Table:
     sent = rows.to_pylist()
     for size in (1, 2):
         part = [r for r in sent if r["size"] == size]
+        if not part:
+            continue
         hs = [_unpack_sorted(r["h"]) for r in part]
         cuts = np.cumsum([0, *map(len, hs)])
         _, group = np.unique(np.concatenate(hs), return_inverse=True)
         # sums of counts stay exact in doubles up to 2^53
-        sums = [np.bincount(group, np.concatenate([_unpack(r[x]) for r in part]))[group].astype(np.int64) for x in ("n", "lower")] if len(group) else [group, group]
+        sums = [np.bincount(group, np.concatenate([_unpack(r[x]) for r in part]))[group].astype(np.int64) for x in ("n", "lower")]
         for r, a, b in zip(part, cuts, cuts[1:]):
             out.append((r["block"], r["bucket"], size, 2, 0, 0, _pack(sums[0][a:b]), _pack(sums[1][a:b]), b""))
     return _table(out, _ANSWER)
@@ -380,49 +420,51 @@ def _sum_contexts(rows: pa.Table) -> pa.Table:
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Train on the rows whose fold isn't `held`, score all."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), (fold(F.col(id_col), folds) == held).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = PARTS * max(1, -(-size // block_bytes))
-    buckets = blocks // 2
-    placed = rows.withColumn("block", F.pmod(F.xxhash64("id", F.length("text")), F.lit(blocks)))
-
-    def send(left: pa.Table) -> pa.Table:
-        block, out = _Block(left), []
-        number = left.column("block")[0].as_py()
-        for k in SIZES:
-            edges = _edges(block.h[k], buckets)
-            for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
-                out.append((bucket, number, k, _pack_sorted(block.h[k][a:b]), _pack(block.n[k][a:b]), b""))
-        return _table(out, _SENT)
+    blocks = written(_blocks(rows, block_bytes), "blocks")
+    tokens = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    buckets = max(1, -(-tokens * 8 // (BUCKET_BLOCKS * block_bytes)))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            block, out = _Block(row), []
+            for k in SIZES:
+                edges = _edges(block.h[k], buckets)
+                for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
+                    if a < b:
+                        out.append((bucket, row["block"], k, _pack_sorted(block.h[k][a:b]), _pack(block.n[k][a:b]), b""))
+            yield from _table(out, _SENT).to_batches()
 
     def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _table([], _SENT)
-        block, out = _Block(left), []
-        number = left.column("block")[0].as_py()
-        block.answered(right.to_pylist(), buckets)
-        for k, (ask, types, lower) in block.contexts().items():
-            edges = _edges(block.h[k][ask], buckets)
-            for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
-                mine = ask[a:b]
-                out.append((bucket, number, k, _pack_sorted(block.h[k][mine]), _pack(types[mine]), _pack(lower[mine])))
+        out = []
+        for row in left.to_pylist():
+            block = _Block(row)
+            block.answered(right.to_pylist(), buckets)
+            for k, (ask, types, lower) in block.contexts().items():
+                edges = _edges(block.h[k][ask], buckets)
+                for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
+                    mine = ask[a:b]
+                    if a < b:
+                        out.append((bucket, row["block"], k, _pack_sorted(block.h[k][mine]), _pack(types[mine]), _pack(lower[mine])))
         return _table(out, _SENT)
 
+    counted = written(blocks.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(_count, _ANSWER), "ngram-counts")
+    by_bucket = counted.where("size = 1").groupBy("bucket").agg(F.max("total").alias("total"), F.max("distinct").alias("distinct"))
+    total, distinct = by_bucket.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    asked = blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(send_contexts, _SENT)
+    contexts = written(asked.groupBy("bucket").applyInArrow(_sum_contexts, _ANSWER), "ngram-contexts")
+
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows:
-            block, answers = _Block(left), right.to_pylist()
+        out = []
+        for row in left.to_pylist():
+            block, answers = _Block(row), right.to_pylist()
             block.answered([r for r in answers if r["step"] == 1], buckets)
-            known, base, value = (np.add.reduceat(x, block.starts, dtype=kind) for x, kind in zip(block.logs([r for r in answers if r["step"] == 2], buckets), (np.int64, float, float)))
-            n, total = block.size, block.total
-        else:
-            n, known, base, value, total = (), (), (), (), 0
-        return pa.table({
-            "id": left.column("id"), "held_out": left.column("held_out"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
-            "train_tokens": pa.array([total] * len(n), pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(value, pa.float64()),
-        })
-
-    counted = written(placed.groupBy("block").applyInArrow(send, _SENT).groupBy("bucket").applyInArrow(_count, _ANSWER), "ngram-counts")
-    asked = placed.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(send_contexts, _SENT)
-    answers = counted.unionByName(asked.groupBy("bucket").applyInArrow(_sum_contexts, _ANSWER))
-    schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
-    return out.withColumnRenamed("id", id_col)
+            values = block.logs([r for r in answers if r["step"] == 2], buckets, total, distinct)
+            known, base, value = (np.add.reduceat(x, block.starts, dtype=kind) for x, kind in zip(values, (np.int64, float, float)))
+            out += zip(row["ids"], row["held"], block.size.tolist(), known.tolist(), [total] * len(known), base.tolist(), value.tolist())
+        return _table(out, _SCORE)
+
+    out = blocks.groupBy("block").cogroup(counted.unionByName(contexts).groupBy("block")).applyInArrow(score, _SCORE)
+    out = written(out.withColumnRenamed("id", id_col), "lm-scores")
+    for df in (blocks, counted, contexts):
+        forget(df)
+    return out
