@@ -21,29 +21,58 @@ def spans(spark, rows):
     return [(r.doc_id, r.start, r.end, r.removed, r.first_doc_id) for r in S.duplicate_spans(frame(spark, rows)).collect()]
 
 
+def units(text):
+    split = [text.split()]
+    return S.units(split[0], S.word_hashes(split)[0], *S._places(text))
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_any_shared_run_of_44_words_has_a_block_in_common(seed):
     rng = random.Random(seed)
     passage = prose(rng, S.WINDOW + S.BLOCK)
-    a = S.units(prose(rng, rng.randrange(90)) + " " + passage + " " + prose(rng, rng.randrange(90)))[0]
-    b = S.units(prose(rng, rng.randrange(90)) + "\n" + passage + "\n" + prose(rng, rng.randrange(90)))[0]
+    a = units(prose(rng, rng.randrange(90)) + " " + passage + " " + prose(rng, rng.randrange(90)))[0]
+    b = units(prose(rng, rng.randrange(90)) + "\n" + passage + "\n" + prose(rng, rng.randrange(90)))[0]
     assert set(a[0][~a[4]]) & set(b[0][~b[4]])
 
 
 def test_unit_hashes_depend_on_words_alone():
     text = "é one two three four five six seven eight nine ten eleven twelve 13 14 15 16 17 18 19 20 21"
-    (u, start, end, n, para), bands = S.units("x " * 50 + "\n" + text.replace(" ", "  ") + "\nshort line")
-    (v, *_), other = S.units(text)
-    assert para.sum() == 2 and u[1] == v[0] and n[1] == 22 and (bands[1] == other[0]).all()
+    (u, c, start, end, para), bands = units("x " * 50 + "\n" + text.replace(" ", "  ") + "\nshort line")
+    (v, d, *_), other = units(text)
+    assert para.sum() == 2 and (u[1], c[1]) == (v[0], d[0]) and (bands[1] == other[0]).all()
     assert ("x " * 50 + "\n" + text.replace(" ", "  "))[start[1] : end[1]] == text.replace(" ", "  ")
 
 
+def test_words_of_unusual_length_and_order_have_other_hashes():
+    # sums of characters with weights that repeat every 64 places can't tell such words apart
+    rng = random.Random(9)
+    a = ["".join(rng.choice("ab") for _ in range(200)) for _ in range(21)]
+    b = [w[64:128] + w[:64] + w[128:] for w in a]
+    (u, c, *_), _ = units(" ".join(a))
+    (v, d, *_), _ = units(" ".join(b))
+    assert not set(zip(u, c)) & set(zip(v, d)) and not set(S.word_hashes([a])[0]) & set(S.word_hashes([b])[0])
+    thue = ["a"]
+    for _ in range(12):
+        thue += ["b" if w == "a" else "a" for w in thue]
+    other = ["b" if w == "a" else "a" for w in thue]
+    assert units(" ".join(thue))[0][0][0] != units(" ".join(other))[0][0][0]
+
+
+def test_units_of_one_key_and_different_texts_are_told_apart(spark):
+    rows = [(1, 7, 100), (2, 7, 100), (3, 7, 200), (4, 8, 1), (5, 9, 2), (6, 9, 2)]
+    found, repeated = S.told_apart(S.written(spark.createDataFrame(rows, "doc long, unit long, check long"), "units"))
+    unit = {r.doc: r.unit for r in found.collect()}
+    assert unit[1] == unit[2] != unit[3] and unit[4] == 8 and unit[5] == unit[6] == 9
+    assert {(r.unit, r.low, r.high) for r in repeated.collect()} == {(unit[1], 1, 2), (9, 5, 6)}
+
+
 def jaccard(a, b):
     sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in (a, b)]
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
 
 
-def test_links_match_brute_force(spark):
+@pytest.mark.parametrize("hot", [7, S.HOT])
+def test_links_match_brute_force(spark, hot):
     rng = random.Random(5)
     base = [prose(rng, 120) for _ in range(3)]
     texts = []
@@ -55,9 +84,14 @@ def test_links_match_brute_force(spark):
             texts.append(" ".join(w))
     texts = list(dict.fromkeys(texts))
     df = frame(spark, list(enumerate(texts))).selectExpr("doc_id doc", "xxhash64(doc_id, text) key", "text")
-    found = S.written(S._all_units(df), "units")
-    name = {int(S.units(t)[0][0][0].astype(np.int64)): k for k, t in enumerate(texts)}
-    got = {tuple(sorted((name[r.node], name[r.root]))) for r in S.components(S.links(found, df)).collect()}
+    found = S.written(S._all_units(df), "units").where("para")
+    name = {int(units(t)[0][0][0].astype(np.int64)): k for k, t in enumerate(texts)}
+    grouped = S.members(found.select("unit", "bands"), [], hot)
+    assert hot > 20 or grouped.where("salt > 0").count() > 9
+    seen = S.look_up(df, found.selectExpr("unit", "0 kind", "key", "start", "end"))
+    sets = {name[r.unit]: len(r.s) for r in seen.collect()}
+    assert sets == {k: len({tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)}) for k, t in enumerate(texts)}
+    got = {tuple(sorted((name[r.node], name[r.root]))) for r in S.components(S.links(grouped, seen.select("unit", "s"))).collect()}
     root = list(range(len(texts)))
     similar = [(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8]
     for _ in texts:
@@ -113,3 +147,32 @@ def test_prefix_filter_finds_every_similar_pair_of_different_clusters(spark):
     want = {(a, b) for b in sets for a in range(b) if cluster[a] != cluster[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert got == want and len(want) > 10
     assert pairs.count() < 200
+
+
+def test_spans_reach_as_far_as_the_texts_agree(spark):
+    rng = random.Random(10)
+    rows, want = [], {}
+    for k in range(30):
+        passage = prose(rng, rng.randrange(44, 90))
+        for j in range(2):
+            before, after = prose(rng, rng.randrange(40)), prose(rng, rng.randrange(40))
+            text = " ".join(filter(None, (before, passage, after)))
+            rows.append((2 * k + j, text))
+        want[2 * k + 1] = (len(before) + bool(before), len(before) + bool(before) + len(passage))
+    got = {g[0]: g[1:3] for g in spans(spark, rows) if g[3]}
+    # a neighbouring word may be equal by chance
+    assert got.keys() == want.keys() and all(got[i][0] <= want[i][0] and want[i][1] <= got[i][1] for i in want)
+    assert sum(got[i] == want[i] for i in want) >= 28
+
+
+def test_short_whole_texts_lengths_and_clashing_names(spark):
+    rng = random.Random(11)
+    short, four, line = prose(rng, 7), "only four words here", prose(rng, 12)
+    rows = [(1, short), (2, short + " "), (3, four), (4, four), (5, prose(rng, 30) + "\n" + line), (6, prose(rng, 30) + "\n" + line), (7, ("z" * 70 + " ") * 3000), (8, "\n".join(prose(rng, 25) for _ in range(3000)))]
+    got = spans(spark, rows)
+    assert got == [(1, 0, len(short), False, 1), (2, 0, len(short), True, 1)] or sorted(got) == [(1, 0, len(short), False, 1), (2, 0, len(short), True, 1)]
+    df = frame(spark, rows).selectExpr("doc_id", "text", "start", "1 as _cut", "2 as _id", "3 as cut")
+    lines = S.duplicate_spans(df, min_words=5)
+    assert {(r.doc_id, r.removed) for r in lines.collect()} >= {(5, False), (6, True), (2, True)}
+    out = S.remove_spans(df, lines)
+    assert out.columns == df.columns and {r.doc_id: r.text for r in out.collect()}[6] == rows[5][1][: -len(line)]

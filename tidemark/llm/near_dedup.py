@@ -18,17 +18,16 @@ empty result. Other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import simhash, substring_dedup
 from tidemark.llm.common import PLAIN_WORD, ascii_lower, components, forget, words, written
-from tidemark.llm.lm_score import tokens
 
 SHINGLE = 5
 BANDS, ROWS = 20, 4
@@ -83,20 +82,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def _bands(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A hash of each text's words, whether it has a shingle, and the band keys of those that have."""
-    known: dict[bytes, int] = {}
-    unit, has, shingles = np.zeros(len(texts), np.uint64), np.zeros(len(texts), bool), []
-    for k, text in enumerate(texts):
-        ws = tokens(text)
-        known.update((w, xxhash.xxh64_intdigest(w)) for w in set(ws) if w not in known)
-        h, n = np.fromiter((known[w] for w in ws), np.uint64, len(ws)), len(ws)
-        unit[k] = substring_dedup._runs(h, np.array([0]), np.array([n]))[0] if n else 0
-        if n >= SHINGLE:
-            has[k] = True
-            shingles.append(substring_dedup._runs(h, np.arange(n - SHINGLE + 1), np.arange(SHINGLE, n + 1)))
+def _bands(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The identity of each text's words, whether it has a shingle, and the band keys of those that have."""
+    split = [t.split() for t in texts]
+    has = np.array([len(ws) >= SHINGLE for ws in split], bool)
+    names = substring_dedup.identities([" ".join(ws) for ws in split])
+    shingles = [substring_dedup.shingle_hashes(h) for h in substring_dedup.word_hashes(split) if len(h) >= SHINGLE]
     if not shingles:
-        return unit, has, np.zeros((0, BANDS), np.uint64)
+        return names, has, np.zeros((0, BANDS), np.uint64)
     size = np.array([len(x) for x in shingles])
     x, begin = np.concatenate(shingles), np.cumsum(size) - size
     keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(size), axis=0)
@@ -108,41 +101,47 @@ def _bands(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         column ^= np.minimum.reduceat(v, begin)
         column *= substring_dedup._BASE
         column ^= column >> np.uint64(31)
-    return unit, has, keys
+    return names, has, keys
 
 
 def _whole_texts(rows: DataFrame) -> DataFrame:
-    """unit, key, bands (none for texts of fewer words than a shingle), of each row's text."""
+    """id, text_hash, unit, check, bands (none for texts of fewer words than a shingle) of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                unit, has, keys = _bands(part.column(2).cast(pa.binary()).to_pylist())
+                names, has, keys = _bands(part.column(2).to_pylist())
                 ends = np.concatenate(([0], np.cumsum(has * BANDS)))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(unit.view(np.int64)), lists], names=["id", "text_hash", "unit", "bands"])
+                unit, check = (pa.array(np.ascontiguousarray(names[:, k]).view(np.int64)) for k in range(2))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), unit, check, lists], names=["id", "text_hash", "unit", "check", "bands"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text_hash", "text").mapInArrow(run, f"id {kind}, text_hash long, unit long, bands array<long>")
+    return rows.select("id", "text_hash", "text").mapInArrow(run, f"id {kind}, text_hash long, unit long, check long, bands array<long>")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """The rows of `docs`, all their columns, that stay: of each group of near texts the one of smallest id, then text hash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), ascii_lower(text).alias("text"))
-    found = written(_whole_texts(rows), "whole-texts")
-    texts = rows.select(F.col("text_hash").alias("key"), "text")
-    length = F.lit((1 << 31) - 1).cast("long")
-    units = found.select("unit", F.col("text_hash").alias("key"), F.lit(0).cast("long").alias("start"), length.alias("end"), "bands")
     made: list[DataFrame] = []
-    linked = written(components(substring_dedup.links(units, texts, similarity, made)), "near-texts")
-    for df in made:
-        forget(df)
+    keep = substring_dedup.kept
+    found, repeated = substring_dedup.told_apart(written(_whole_texts(rows), "whole-texts"), "text_hash")
+    one = keep(made, found.groupBy("unit").agg(F.min(F.struct(F.col("text_hash").alias("key"), "bands")).alias("p")).select("unit", "p.*"), "texts")
+    grouped = substring_dedup.members(one.select("unit", "bands"), made)
+    whole = [F.lit(x).cast(t).alias(n) for x, t, n in ((substring_dedup.SET, "int", "kind"), (0, "long", "start"), ((1 << 31) - 1, "long", "end"))]
+    wanted = one.join(grouped.select("unit").distinct(), "unit", "left_semi").select("unit", "key", *whole)
+    seen = keep(made, substring_dedup.look_up(rows.select(F.col("text_hash").alias("key"), "text"), wanted), "looked-up")
+    linked = keep(made, components(substring_dedup.links(grouped, seen.select("unit", "s"), similarity, made)), "linked")
     least = found.groupBy("unit").agg(F.min(F.struct("id", "text_hash")).alias("low"))
     named = least.join(linked.withColumnRenamed("node", "unit"), "unit", "left")
     by_root = named.groupBy(F.coalesce("root", "unit").alias("root")).agg(F.min("low").alias("low"))
-    stay = by_root.select(F.col("low.id").alias("_id"), F.col("low.text_hash").alias("_hash"))
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = rows.join(stay, rows[id_col].eqNullSafe(stay["_id"]) & (rows["_text_hash"] == stay["_hash"]), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_hash"]).select(*docs.columns)
+    tag = uuid.uuid4().hex  # no column of a caller's has such a name
+    mine, theirs, own = f"id{tag}", f"hash{tag}", f"text{tag}"
+    stay = written(by_root.select(F.col("low.id").alias(mine), F.col("low.text_hash").alias(theirs)), "stay")
+    for df in (*made, found, repeated):
+        forget(df)
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = rows.join(stay, rows[id_col].eqNullSafe(stay[mine]) & (rows[own] == stay[theirs]), "left_semi")
+    return kept.dropDuplicates([id_col, own]).select(*docs.columns)

@@ -2,88 +2,110 @@
 
 Units of a text are
 * its paragraphs (lines) of MIN_WORDS words or more, with a MinHash signature over shingles of five words, in BANDS bands
-  of ROWS values: paragraphs of Jaccard similarity 0.8 share a band with probability 0.995;
+  of ROWS values: paragraphs of Jaccard similarity 0.8 share a band with probability 0.995. A text of fewer words, but
+  five at least, is one unit as a whole;
 * blocks of BLOCK words that begin where the least shingle hash of WINDOW neighbours stands, wherever lines end. Any
   run of WINDOW + BLOCK words that two texts share has such a place, and so a block, in common. They catch passages
-  that stand inside longer paragraphs, by exact equality.
-
-Equal units are one class from the start, so copies cost no pairs. Of paragraphs that share a band, all are compared with
-the band's first one and, where several clusters remain, with a few more, so a large group of near copies takes a few
-times as many comparisons as it has members. Where a band then still holds several clusters, its paragraphs are compared across clusters by an exact prefix filter, so no link between
-clusters is lost. The similarity is the exact Jaccard coefficient of the shingle sets, 0.8 or more. Components of verified links are clusters, and a cluster counts if it has
-two documents or more. The smallest document id keeps its text; the others' spans are removals.
-
-Defined results: null and empty texts have no units, nor have texts of fewer than MIN_WORDS words. Repeats inside one
+  that stand inside longer paragraphs.
+
+Units are equal if 128 bits of a hash of their words' text are; the key `unit` is half of it, and units that agree in that
+half alone are told apart before anything else. Equal units are one class from the start, so copies cost no pairs. A
+repeated block at the end of a run of blocks is compared, word by word, with the first document of its class beyond
+the block, so a span reaches as far as the two texts agree: up to WINDOW - 1 words on either side, the most that block
+selection leaves.
+
+Of paragraphs that share a band, all are compared with the band's first one and, where several clusters remain, with a
+few more, so a large group of near copies takes a few times as many comparisons as it has members. Bands are salted by
+their size: no task gets more than some HOT members of one. Where a band then still holds several clusters, its
+paragraphs are compared across clusters by an exact prefix filter, so no link between clusters is lost. The similarity
+is the exact Jaccard coefficient of the shingle sets, 0.8 or more. Components of verified links are clusters, and a
+cluster counts if it has two documents or more. The smallest document id keeps its text; the others' spans are removals.
+
+Defined results: null and empty texts have no units, nor have texts of fewer than five words. Repeats inside one
 document alone are no removals. Rows without an id are passed over; equal ids are one document. Repeated rows give
-their spans once. Texts count whole. An empty table gives an empty result. Other columns are ignored. Words are compared
-as they stand, case included. Spans are code points, the end exclusive.
+their spans once. Texts count whole. An empty table gives an empty result. Other columns are ignored, whatever their
+names. Words are compared as they stand, case included. Spans are code points, the end exclusive.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngrams
-from tidemark.llm.common import components, forget, words, written
+from tidemark.llm.common import components, forget, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Shorter lines are no units of their own, unless they are a whole text; `duplicate_spans` takes another bound.
 MIN_WORDS = 20
 BANDS, ROWS = 10, 4
 WINDOW, BLOCK = 20, 24
 #: Further paragraphs of a band with which all others of it are compared, before the exact search between clusters.
 PIVOTS = 4
+#: Members of a band that one task is meant to get at most.
+HOT = 20_000
 
 _RNG = np.random.default_rng(77)
 _TIMES = (_RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * 2 + 1).astype(np.uint32)
 _PLUS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+def word_hashes(split: list[list[str]]) -> list[np.ndarray]:
+    """The 64-bit hash of each word of each text; a word that several texts have is hashed once."""
+    size = [len(ws) for ws in split]
+    found = pa.array([w for ws in split for w in ws], pa.string()).dictionary_encode()
+    known = np.fromiter(map(xxhash.xxh64_intdigest, found.dictionary.to_pylist()), np.uint64, len(found.dictionary))
+    return np.split(known[found.indices.to_numpy(zero_copy_only=False)], np.cumsum(size)[:-1])
 
 
-def _runs(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of the words from start to end, wherever they stand."""
-    sums = np.concatenate(([np.uint64(0)], np.cumsum(h * _powers(_BASE, len(h)), dtype=np.uint64)))
-    out = (sums[end] - sums[start]) * _powers(_BACK, len(h) + 1)[start]
-    return (out ^ (out >> np.uint64(29))) * _BASE + (end - start).astype(np.uint64)
+def shingle_hashes(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """A hash of each run of `size` words."""
+    n = len(h) - size + 1
+    out = h[:n].copy()
+    for k in range(1, size):
+        out *= _BASE
+        out ^= out >> np.uint64(32)
+        out += h[k : k + n]
+    return (out ^ (out >> np.uint64(29))) * _BASE
 
 
-def units(text: str) -> tuple[list[np.ndarray], np.ndarray]:
-    """[unit, start, end, words, is_paragraph] as columns, and the band keys of those that are paragraphs."""
-    c = ngrams.codes(text)
-    gap = ngrams.spaces()[c]
-    first = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
-    n = len(first)
-    last = np.flatnonzero(~gap & np.concatenate((gap[1:], [True]))) + 1
-    if n < MIN_WORDS:
+def identities(texts: list[str]) -> np.ndarray:
+    """Two 64-bit halves of a hash of each text."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), "<u8").reshape(-1, 2)
+
+
+def units(ws: list[str], h: np.ndarray, first: np.ndarray, last: np.ndarray, line: np.ndarray, least: int = MIN_WORDS) -> tuple[list[np.ndarray], np.ndarray]:
+    """[unit, check, start, end, is_paragraph] as columns, and the band keys of those that are paragraphs.
+
+    For each word of a text: its string, its hash, where it starts and ends, and the number of its line.
+    """
+    n = len(ws)
+    if n < SHINGLE:
         return [np.zeros(0, np.int64)] * 5, np.zeros((0, BANDS), np.uint64)
-    h = ngrams.word_hashes(c)
-    shingles = _runs(h, np.arange(n - SHINGLE + 1), np.arange(SHINGLE, n + 1))
-    line = np.cumsum(c == 10)[first]
+    if n < least:
+        line, least = np.zeros(n, np.int64), n
+    shingles = shingle_hashes(h)
     begin = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
     stop = np.concatenate((begin[1:], [n]))
-    long = stop - begin >= MIN_WORDS
+    long = stop - begin >= least
     bands = np.zeros((int(long.sum()), BANDS), np.uint64)
     if long.any():
         outside = np.flatnonzero(np.concatenate((line[: n - SHINGLE + 1] != line[SHINGLE - 1 :], np.ones(SHINGLE - 1, bool))))
         base = np.concatenate(((shingles >> np.uint64(32)).astype(np.uint32), np.zeros(SHINGLE - 1, np.uint32)))
         v = (base[None, :] * _TIMES[:, None]) ^ _PLUS[:, None]
         v[:, outside] = 0xFFFFFFFF
-        least = np.minimum.reduceat(v, begin, axis=1)[:, long].reshape(BANDS, ROWS, -1).astype(np.uint64)
-        key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], least.shape[2], axis=1)
+        least_of = np.minimum.reduceat(v, begin, axis=1)[:, long].reshape(BANDS, ROWS, -1).astype(np.uint64)
+        key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], least_of.shape[2], axis=1)
         for k in range(ROWS):
-            key = (key ^ least[:, k]) * _BASE
+            key = (key ^ least_of[:, k]) * _BASE
             key ^= key >> np.uint64(31)
         bands = np.ascontiguousarray(key.T)
     begin, stop = begin[long], stop[long]
@@ -94,11 +116,21 @@ def units(text: str) -> tuple[list[np.ndarray], np.ndarray]:
         at = at[at + BLOCK <= n]
     starts, stops = np.concatenate((begin, at)), np.concatenate((stop, at + BLOCK))
     para = np.concatenate((np.ones(len(begin), bool), np.zeros(len(at), bool)))
-    return [_runs(h, starts, stops), first[starts], last[stops - 1], stops - starts, para], bands
+    names = identities([" ".join(ws[a:b]) for a, b in zip(starts.tolist(), stops.tolist())])
+    return [names[:, 0], names[:, 1], first[starts], last[stops - 1], para], bands
 
 
-def _all_units(docs: DataFrame) -> DataFrame:
-    """doc, key (of the row's id and text), unit, start, end, words, bands (null for blocks)."""
+def _places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word, as split() gives them, starts and ends, and the number of its line."""
+    c = ngrams.codes(text)
+    gap = ngrams.spaces()[c]
+    first = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
+    last = np.flatnonzero(~gap & np.concatenate((gap[1:], [True]))) + 1
+    return first, last, np.cumsum(c == 10)[first]
+
+
+def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """doc, key (of the row's id and text), unit, check, start, end, para, bands (empty for blocks)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,11 +138,13 @@ def _all_units(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, 512)
                 columns: list[list[np.ndarray]] = [[] for _ in range(7)]
                 bands, sizes = [], []
-                for doc, key, text in zip(*(part.column(k).to_pylist() for k in range(3))):
-                    (unit, start, end, n, para), keys = units(text)
-                    if not len(unit):
+                texts = part.column(2).to_pylist()
+                split = [t.split() for t in texts]
+                for doc, key, text, ws, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, split, word_hashes(split)):
+                    if len(ws) < SHINGLE:
                         continue
-                    for column, x in zip(columns, (np.full(len(unit), doc), np.full(len(unit), key), unit.view(np.int64), start, end, n)):
+                    (*found, para), keys = units(ws, h, *_places(text), least)
+                    for column, x in zip(columns, (np.full(len(para), doc), np.full(len(para), key), *[f.view(np.int64) for f in found], para)):
                         column.append(x)
                     bands.append(keys.view(np.int64).ravel())
                     sizes.append(para.astype(np.int64) * BANDS)
@@ -118,18 +152,76 @@ def _all_units(docs: DataFrame) -> DataFrame:
                     continue
                 size = np.concatenate(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(np.concatenate(bands)))
-                arrays = [pa.array(np.concatenate(x).astype(np.int64)) for x in columns[:6]]
-                yield pa.RecordBatch.from_arrays([*arrays, lists], names=["doc", "key", "unit", "start", "end", "words", "bands"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(x)) for x in columns], lists], names=["doc", "key", "unit", "check", "start", "end", "para", "bands"])
+
+    return docs.mapInArrow(run, "doc long, key long, unit long, check long, start long, end long, para boolean, bands array<long>")
+
+
+def told_apart(found: DataFrame, doc: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """`found`, in which `unit` alone now tells texts apart, and the units that stand in more than one row of it with the
+    least and largest `doc` as low and high; both are written tables."""
 
-    return docs.mapInArrow(run, "doc long, key long, unit long, start long, end long, words long, bands array<long>")
+    def classes(rows: DataFrame) -> DataFrame:
+        sums = rows.groupBy("unit").agg(F.min(doc).alias("low"), F.max(doc).alias("high"), F.min("check").alias("c0"), F.max("check").alias("c1"), F.count("*").alias("n"))
+        return written(sums.where("n > 1").drop("n"), "classes")
 
+    repeated = classes(found)
+    mixed = repeated.where("c0 <> c1").select("unit")
+    if mixed.head(1):
+        named = found.join(mixed.withColumn("mixed", F.lit(True)), "unit", "left")
+        unit = F.when(F.col("mixed"), F.xxhash64("unit", "check")).otherwise(F.col("unit"))
+        again = written(named.select(unit.alias("unit"), *[c for c in found.columns if c != "unit"]), "units")
+        forget(found)
+        forget(repeated)
+        found, repeated = again, classes(again)
+    return found, repeated
 
-def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(unit, s): the set of shingle hashes of each unit; wanted: unit, key, start, end of one place where it stands."""
-    at = docs.select("key", "text").dropDuplicates(["key"]).join(wanted, "key")
-    w = at.select("unit", words(F.substring("text", F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int")), r"\S+").alias("w"))
-    places = F.sequence(F.lit(0), F.size("w") - SHINGLE)
-    return w.select("unit", F.array_distinct(F.transform(places, lambda k: F.xxhash64(*[F.get("w", k + j) for j in range(SHINGLE)]))).alias("s"))
+
+_LOOKED_UP = "unit long, kind int, key long, at long, s array<long>, places array<long>"
+#: What is looked up in a text: the shingle set of a unit, or what stands left or right of a place, there or in the first document.
+SET, LEFT, RIGHT, FIRST_LEFT, FIRST_RIGHT = range(5)
+
+
+def look_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """_LOOKED_UP for `wanted` (unit, kind, key, start, end): one shuffle of texts for all that is wanted of them.
+
+    SET: `s` is the set of shingle hashes from start to end (the hash of all words, if too few). LEFT and RIGHT: `s` are the hashes of the words before or
+    after, outwards, and `places` where each starts or ends; `at` is where it began.
+    """
+    asked = wanted.groupBy("key").agg(F.collect_list(F.struct("unit", "kind", "start", "end")).alias("asked"))  # units of one text
+    rows = docs.select("key", "text").dropDuplicates(["key"]).join(asked, "key").select("key", "text", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                texts = part.column(1).to_pylist()
+                split = [t.split() for t in texts]
+                asked = part.column(2).combine_chunks() if isinstance(part.column(2), pa.ChunkedArray) else part.column(2)
+                ends = np.concatenate(([0], np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))))
+                flat = asked.flatten()
+                unit, kind, start, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                out: list[list] = [[], [], [], [], [], []]
+                for k, (key, text, h) in enumerate(zip(part.column(0).to_pylist(), texts, word_hashes(split))):
+                    first, last, _ = _places(text)
+                    mine = slice(ends[k], ends[k + 1])
+                    low, high = np.searchsorted(first, start[mine]).tolist(), np.searchsorted(last, end[mine], side="right").tolist()
+                    for u, what, a, b, i, j in zip(unit[mine].tolist(), kind[mine].tolist(), start[mine].tolist(), end[mine].tolist(), low, high):
+                        if what == SET:
+                            found = np.unique(shingle_hashes(h[i:j], min(SHINGLE, max(1, j - i))))
+                            place, there = a, found[:0]
+                        elif what in (LEFT, FIRST_LEFT):
+                            found, place, there = h[max(0, i - WINDOW + 1) : i][::-1], a, first[max(0, i - WINDOW + 1) : i][::-1]
+                        else:
+                            found, place, there = h[j : j + WINDOW - 1], b, last[j : j + WINDOW - 1]
+                        for column, x in zip(out, (u, what, key, place, found.view(np.int64), there.view(np.int64))):
+                            column.append(x)
+                if out[0]:
+                    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+                    lists = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x in c]))), pa.int32()), pa.array(np.concatenate(c).astype(np.int64))) for c in out[4:]]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, kinds)], *lists], names=["unit", "kind", "key", "at", "s", "places"])
+
+    return rows.mapInArrow(run, _LOOKED_UP)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -142,7 +234,7 @@ def _ceil(x: Column) -> Column:
     return F.ceil(x - 1e-9).cast("int")
 
 
-def _kept(made: list[DataFrame], df: DataFrame, name: str) -> DataFrame:
+def kept(made: list[DataFrame], df: DataFrame, name: str) -> DataFrame:
     made.append(written(df, name))
     return made[-1]
 
@@ -168,7 +260,7 @@ def _across(open_units: DataFrame, sets: DataFrame, similarity: float, made: lis
     are not compared with each other.
     """
     n = F.size("s")
-    marked = _kept(made, open_units.join(sets, "unit").select("unit", "cluster", n.alias("n"), "s", *_parities()), "open-sets")
+    marked = kept(made, open_units.join(sets, "unit").select("unit", "cluster", n.alias("n"), "s", *_parities()), "open-sets")
     tokens = marked.select("unit", F.explode("s").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("often"))
     ordered = tokens.join(often, "token").groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("order"))  # one paragraph's shingles
@@ -176,9 +268,9 @@ def _across(open_units: DataFrame, sets: DataFrame, similarity: float, made: lis
     size = F.col("n")
     large = size - _ceil(size * similarity) + 1
     small = size - _ceil(size * (2 * similarity / (1 + similarity))) + 1
-    first = _kept(made, ordered.join(marked, "unit").select("unit", "cluster", "n", *parities, F.posexplode(F.slice("order", 1, large)).alias("place", "t")).select("unit", "cluster", "n", *parities, "place", "t.token"), "probe")
+    first = kept(made, ordered.join(marked, "unit").select("unit", "cluster", "n", *parities, F.posexplode(F.slice("order", 1, large)).alias("place", "t")).select("unit", "cluster", "n", *parities, "place", "t.token"), "probe")
     by = first.groupBy("token", "cluster").agg(F.count("*").alias("k")).groupBy("token").agg(F.count("*").alias("clusters"), F.max_by("cluster", F.struct("k", "cluster")).alias("main"))
-    rows = _kept(made, first.join(by.where("clusters > 1").select("token", "main"), "token"), "shared-shingles")
+    rows = kept(made, first.join(by.where("clusters > 1").select("token", "main"), "token"), "shared-shingles")
     p = rows.select("token", "main", *[F.col(x).alias(y) for x, y in (("unit", "c"), ("cluster", "cc"), ("n", "nc"), ("place", "ic"))], *[F.col(x).alias("c" + x) for x in parities])
     i = rows.where(F.col("place") < small).select("token", (F.col("cluster") != F.col("main")).alias("aside"), *[F.col(x).alias(y) for x, y in (("unit", "d"), ("cluster", "cd"), ("n", "nd"), ("place", "id"))], *[F.col(x).alias("d" + x) for x in parities])
     total = F.col("nc") + F.col("nd")
@@ -193,71 +285,140 @@ def _across(open_units: DataFrame, sets: DataFrame, similarity: float, made: lis
     return one.unionByName(two).select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
-def links(found: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, made: list[DataFrame] | None = None) -> DataFrame:
-    """(a, b): verified links that connect whatever paragraphs share a band and are similar.
+def members(paragraphs: DataFrame, made: list[DataFrame], hot: int = HOT) -> DataFrame:
+    """(band, salt, a, b, unit): the units (of `unit`, `bands`, each once) that share a band with others.
+
+    `b` is the band's first unit and `a` the first one of the salt. A unit's salt is drawn among as many as the band's size calls
+    for, so a band that a third of all units have is as many groups as it needs. To learn that size, rows are first
+    summed within as many salts as all rows might need.
+    """
+    rows = paragraphs.select("unit", F.explode("bands").alias("band"))
+    most = max(1, -(-paragraphs.count() // hot))
+    salt = F.pmod(F.xxhash64("unit", F.lit(7)), F.lit(most)).cast("int")
+    rows = rows.withColumn("part", salt)
+    parts = rows.groupBy("band", "part").agg(F.min("unit").alias("low"), F.count("*").alias("n"))
+    bands = parts.groupBy("band").agg(F.min("low").alias("b"), F.sum("n").alias("n")).where("n > 1")
+    sizes = parts.select("band", "part").join(bands, "band")
+    salts = F.ceil(F.col("n") / hot).cast("int")
+    own = rows.join(sizes, ["band", "part"]).select("band", F.pmod(F.xxhash64("unit", F.lit(9)), salts).cast("int").alias("salt"), "b", "unit")
+    own = kept(made, own, "members")
+    firsts = own.groupBy("band", "salt").agg(F.min("unit").alias("a"))
+    return kept(made, own.join(firsts, ["band", "salt"]).select("band", "salt", "a", "b", "unit"), "salted-members")
+
+
+def links(grouped: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, made: list[DataFrame] | None = None) -> DataFrame:
+    """(a, b): verified links that connect whatever units share a band and are similar; `sets` has their shingles.
 
     `made` collects the tables written on the way, which the caller may delete when it has the links.
     """
     made = [] if made is None else made
-    paragraphs = found.where(F.size("bands") > 0).select("unit", "key", "start", "end", "bands").dropDuplicates(["unit"])
-    rows = paragraphs.select("unit", F.explode("bands").alias("band"))
-    first = rows.groupBy("band").agg(F.min("unit").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
-    members = _kept(made, rows.join(first, "band").select("band", "a", "unit").distinct(), "members")
-    used = members.select("unit").distinct()
-    sets = _kept(made, _shingle_sets(docs, paragraphs.drop("bands").join(used, "unit", "left_semi")), "shingle-sets")
-    near = _kept(made, _verified(members.where("a <> unit").select("a", F.col("unit").alias("b")).distinct(), sets, similarity), "near")
-    members = members.select("band", "unit")
-    open_units = _open(members, near, made)
+    first = grouped.select("a", F.col("unit").alias("b")).unionByName(grouped.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = kept(made, _verified(first.where("a <> b").distinct(), sets, similarity), "near")
+    grouped = grouped.select("band", "salt", "unit")
+    open_units = _open(grouped, near, made)
     # a few more pivots join most of what the first left apart, as many comparisons as members each
     picks = [F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "cluster")).alias(f"p{k}") for k in range(PIVOTS)]
-    pivots = open_units.groupBy("band").agg(*picks).select("band", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
-    pairs = open_units.join(pivots, "band").where("cluster <> p.cluster").select(F.least("unit", "p.unit").alias("a"), F.greatest("unit", "p.unit").alias("b")).distinct()
-    near = _kept(made, near.unionByName(_verified(pairs, sets, similarity)).distinct(), "near")
-    apart = _kept(made, _open(members, near, made).select("unit", "cluster").distinct(), "apart")
+    pivots = open_units.groupBy("band", "salt").agg(*picks).select("band", "salt", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
+    pairs = open_units.join(pivots, ["band", "salt"]).where("cluster <> p.cluster").select(F.least("unit", "p.unit").alias("a"), F.greatest("unit", "p.unit").alias("b")).distinct()
+    near = kept(made, near.unionByName(_verified(pairs, sets, similarity)).distinct(), "near")
+    apart = kept(made, _open(grouped, near, made).select("unit", "cluster").distinct(), "apart")
     return near.unionByName(_verified(_across(apart, sets, similarity, made), sets, similarity)).distinct()
 
 
-def _open(members: DataFrame, near: DataFrame, made: list[DataFrame]) -> DataFrame:
-    """(band, unit, cluster) of the bands whose paragraphs the links `near` leave in several clusters."""
-    clusters = _kept(made, components(near), "clusters")
-    named = members.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select("band", "unit", F.coalesce("root", "unit").alias("cluster"))
-    mixed = named.groupBy("band").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("band")
-    return _kept(made, named.join(mixed, "band", "left_semi"), "open")
-
-
-def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def _open(grouped: DataFrame, near: DataFrame, made: list[DataFrame]) -> DataFrame:
+    """(band, salt, unit, cluster) of the bands whose units the links `near` leave in several clusters."""
+    clusters = kept(made, components(near), "clusters")
+    named = grouped.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select("band", "salt", "unit", F.coalesce("root", "unit").alias("cluster"))
+    ends = named.groupBy("band", "salt").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    mixed = ends.groupBy("band").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("band")
+    groups = ends.select("band", "salt").join(mixed, "band")
+    return kept(made, named.join(groups, ["band", "salt"], "left_semi"), "open")
+
+
+def _edges(blocks: DataFrame) -> DataFrame:
+    """(doc, key, unit, first_doc_id, kind, start, end): the repeated blocks, of other documents than their class's first,
+    with no other such block touching them on the left or on the right."""
+    order = Window.partitionBy("doc", "key").orderBy("start", "unit")  # blocks of one text
+    gone = blocks.where(F.col("doc") != F.col("first_doc_id"))
+    marked = gone.select("*", (F.coalesce(F.lag("end").over(order), F.lit(-1)) < F.col("start")).alias("open"))
+    marked = marked.select("*", F.coalesce(F.lead("open").over(order), F.lit(True)).alias("close"))
+    kinds = F.filter(F.array(F.when(F.col("open"), F.lit(LEFT)), F.when(F.col("close"), F.lit(RIGHT))), lambda k: k.isNotNull())
+    return marked.select("doc", "key", "unit", "first_doc_id", F.explode(kinds).alias("kind"), "start", "end")
+
+
+def _beyond(edges: DataFrame, seen: DataFrame) -> DataFrame:
+    """(doc, start, end, first_doc_id): what the text next to each edge has in common with the first document's."""
+    there = seen.where(F.col("kind").isin(FIRST_LEFT, FIRST_RIGHT)).select("unit", (F.col("kind") - 2).alias("kind"), F.col("s").alias("theirs"))
+    here = seen.where(F.col("kind").isin(LEFT, RIGHT)).distinct()
+    at = F.when(F.col("kind") == LEFT, F.col("start")).otherwise(F.col("end")).alias("at")
+    both = edges.select("doc", "key", "unit", "first_doc_id", "kind", at).join(here, ["key", "unit", "kind", "at"]).join(there, ["unit", "kind"])
+    same = F.zip_with("s", "theirs", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    stop = F.array_position(same, F.lit(False)).cast("int")
+    n = F.when(stop == 0, F.size(same)).otherwise(stop - 1)
+    far = F.get("places", n - 1)
+    reach = both.where(n > 0).select("doc", "at", far.alias("far"), "first_doc_id")
+    return reach.select("doc", F.least("at", "far").alias("start"), F.greatest("at", "far").alias("end"), "first_doc_id")
+
+
+def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
     """(id_col, start, end, removed, first_doc_id): repeated spans of each document that has any.
 
     Overlapping units are merged to one span. `first_doc_id` is the smallest document among the clusters of a span, and
-    `removed` says that another document keeps the text; kept spans are listed as well.
+    `removed` says that another document keeps the text; kept spans are listed as well. Lines of `min_words` words or more are units.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
-    found = written(_all_units(rows), "units")
     made: list[DataFrame] = []
-    linked = written(components(links(found, rows.select("key", "text"), similarity, made)), "clusters")
-    for df in made:
-        forget(df)
-    sizes = found.groupBy("unit").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    named = sizes.join(linked.withColumnRenamed("node", "unit"), "unit", "left").select("unit", "low", "high", F.coalesce("root", "unit").alias("cluster"))
+    found, repeated = told_apart(written(_all_units(rows, max(SHINGLE, min_words)), "units"))
+    shared = repeated.where("low < high").select("unit", F.col("low").alias("first_doc_id"))
+    blocks = kept(made, found.where(~F.col("para")).select("doc", "key", "unit", "start", "end").join(shared, "unit").distinct(), "blocks")
+    edges = kept(made, _edges(blocks), "edges")
+    paragraphs = found.where("para")
+    one = kept(made, paragraphs.groupBy("unit").agg(F.min(F.struct("key", "start", "end", "bands")).alias("p")).select("unit", "p.*"), "paragraphs")
+    grouped = members(one.select("unit", "bands"), made)
+    sides = edges.select("unit", "kind").distinct()
+    firsts = blocks.where("doc = first_doc_id").join(sides, "unit").groupBy("unit", "kind").agg(F.min(F.struct("key", "start", "end")).alias("p"))
+    columns = ["unit", "kind", "key", "start", "end"]
+    sets = one.join(grouped.select("unit").distinct(), "unit", "left_semi").withColumn("kind", F.lit(SET))
+    wanted = edges.select(columns).unionByName(firsts.select("unit", (F.col("kind") + 2).alias("kind"), "p.*")).unionByName(sets.select(columns))
+    seen = kept(made, look_up(rows, wanted), "looked-up")
+    linked = kept(made, components(links(grouped, seen.where(F.col("kind") == SET).select("unit", "s"), similarity, made)), "linked")
+
+    sizes = paragraphs.groupBy("unit").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    named = kept(made, sizes.join(linked.withColumnRenamed("node", "unit"), "unit", "left").select("unit", "low", "high", F.coalesce("root", "unit").alias("cluster")), "named")
     joined = named.groupBy("cluster").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("high")).where(F.col("first_doc_id") < F.col("high"))
-    repeated = named.join(joined.select("cluster", "first_doc_id"), "cluster").select("unit", "first_doc_id")
-    spans = found.select("doc", "unit", "start", "end").join(repeated, "unit")
-    spans = spans.select("doc", "start", "end", "first_doc_id", (F.col("doc") != F.col("first_doc_id")).alias("removed"))
+    near = named.join(joined.select("cluster", "first_doc_id"), "cluster").select("unit", "first_doc_id")
+    columns = ["doc", "start", "end", "first_doc_id"]
+    spans = paragraphs.select("doc", "unit", "start", "end").join(near, "unit").select(columns).distinct()
+    spans = spans.unionByName(blocks.select(columns)).unionByName(_beyond(edges, seen))
+    spans = spans.select("*", (F.col("doc") != F.col("first_doc_id")).alias("removed"))
     order = Window.partitionBy("doc", "removed").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("new", (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int"))
     marked = marked.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     out = marked.groupBy("doc", "removed", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id"))
-    return out.select(F.col("doc").alias(id_col), "start", "end", "removed", "first_doc_id")
+    out = written(out.select(F.col("doc").alias(id_col), "start", "end", "removed", "first_doc_id"), "spans")
+    for df in (*made, found, repeated):
+        forget(df)
+    return out
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the spans marked `removed`; all columns stay."""
-    cut = spans.where("removed").groupBy(F.col(id_col).alias("_id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cut"))  # spans of one document
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cut", lambda s: s["end"]))
-    ends = F.concat(F.transform("_cut", lambda s: s["start"]), F.array(F.length(text_col).cast("long")))
-    pieces = F.zip_with(starts, ends, lambda a, b: F.substring(F.col(text_col), (a + 1).cast("int"), (b - a).cast("int")))
-    out = docs.join(cut, docs[id_col] == cut["_id"], "left")
-    kept = F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(F.array_join(pieces, ""))
-    return out.withColumn(text_col, kept).select(*docs.columns)
+    tag = uuid.uuid4().hex
+    cut = spans.where("removed").groupBy(F.col(id_col).alias(f"id{tag}")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(f"cut{tag}"))  # spans of one document
+    both = docs.join(cut, docs[id_col] == cut[f"id{tag}"], "left").select(*[docs[f"`{c}`"] for c in docs.columns], cut[f"cut{tag}"])
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, cuts = batch.columns
+            texts = columns[at].to_pylist()
+            for k, spans in enumerate(cuts.to_pylist()):
+                if spans and texts[k] is not None:
+                    edges = [0, *[x for s in spans for x in (s["start"], s["end"])], len(texts[k])]
+                    texts[k] = "".join(texts[k][a:b] for a, b in zip(edges[::2], edges[1::2]))
+            columns[at] = pa.array(texts, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return both.mapInArrow(run, docs.schema)
