@@ -8,6 +8,10 @@ logarithm of the guesses that enumerate it, and each further segment a little fo
 `2024-01-01` or `xxxxxxxx` in such a place are cheap and no secret; a random value is dear. Spans inside a base span add
 nothing and are left out.
 
+The programme takes time in proportion to the value: a repeat or a walk starts among the first HEAD characters of its
+maximal run, long repeats are cut to a few times before and counted whole, and costs are told apart up to CEILING digits,
+where the programme stops.
+
 Defined results: a null text counts as empty and has no spans. Texts are scanned whole, whatever their length. Each row
 gives one result row, repeated ones too; an empty table gives an empty result; other columns are ignored. Spans are in
 code points, the end exclusive, sorted by start, then kind as listed.
@@ -29,6 +33,10 @@ KINDS = ("assign", "access", "hex", "guess")
 #: A value counts as a secret from so many decimal digits of guesses.
 MIN_LOG10 = 10.0
 MIN_VALUE = 8
+#: Costs of so many digits and more are given as this.
+CEILING = 60.0
+#: A repeat or walk that begins later within a run of its kind is no segment of its own.
+HEAD = 16
 MASK = "[secret]"
 
 # The formats that scans are asked for.
@@ -37,7 +45,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 # Words that announce a credential, then a sign, then the value.
 _CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth(?:orization|[_-]?key)?|private[_-]?key|access[_-]?key|client[_-]?secret|bearer)["']?\x20{0,4}(?::=|=>|[:=])\x20{0,4}(?:bearer\x20+|basic\x20+)?["'`]?([^\s"'`,;<>(){}\[\]]+)""",
+    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|credentials?|auth(?:orization|[_-]?key)?|private[_-]?key|access[_-]?key|client[_-]?secret|bearer)["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*(?:bearer\x20+|basic\x20+)?["'`]?([^\s"'`,;<>(){}\[\]]+)""",
     re.IGNORECASE | re.ASCII,
 )
 _HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
@@ -60,16 +68,16 @@ _DATES = (
 )
 
 
-def _near() -> set[tuple[str, str]]:
-    """Ordered pairs of keys that touch: along a row, or one row down in the same or the previous column."""
-    out = set()
+def _near() -> dict[tuple[str, str], tuple[int, int]]:
+    """Ordered pairs of keys that touch, and the way from one to the other: along a row, or to the next row in the same
+    or the neighbouring column."""
+    out = {}
     for r, row in enumerate(_ROWS):
         for c, key in enumerate(row):
-            around = [row[c + 1 : c + 2]]
-            if r + 1 < len(_ROWS):
-                around += [_ROWS[r + 1][c : c + 1], _ROWS[r + 1][c - 1 : c] if c else ""]
-            for other in filter(None, around):
-                out |= {(key, other), (other, key)}
+            for down, right in ((0, 1), (1, 0), (1, -1)):
+                if r + down < len(_ROWS) and 0 <= c + right < len(_ROWS[r + down]):
+                    other = _ROWS[r + down][c + right]
+                    out[key, other], out[other, key] = (down, right), (-down, -right)
     return out
 
 
@@ -80,32 +88,64 @@ def _alphabet(c: str) -> int:
     return 10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 100
 
 
+def _spread(value: str) -> int:
+    """Guesses for a character that the rest of the value tells about: letters that read like a word, or hex digits."""
+    if value.isalpha():
+        vowels = sum(c in "aeiouy" for c in value.lower()) / len(value)
+        # a word of some language is far from random
+        return 5 if (value.islower() or value.isupper() or value.istitle()) and (0.2 <= vowels <= 0.65 or not value.isascii()) else 0
+    return 16 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) and not value.isdigit() else 0
+
+
+_LONG_REPEAT = re.compile(r"(.{1,4}?)\1{%d,}" % (2 * HEAD), re.DOTALL)
+
+
+def _shortened(value: str) -> tuple[str, dict[int, int]]:
+    """The value without the middle of long repeats, and how many characters are left out before which place."""
+    out, cuts, at, size = [], {}, 0, 0
+    for m in _LONG_REPEAT.finditer(value):
+        block = m.end(1) - m.start(1)
+        head, tail = m.start() + HEAD * block, m.end() - HEAD * block
+        out += [value[at:head]]
+        size += head - at
+        cuts[size] = tail - head
+        at = tail
+    return ("".join([*out, value[at:]]), cuts) if cuts else (value, cuts)
+
+
 @lru_cache(maxsize=20_000)
 def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation needs; 0 for an empty value."""
+    """log10 of the guesses that the cheapest segmentation needs, CEILING at most; 0 for an empty value."""
+    spread = _spread(value) if value else 0
+    value, cuts = _shortened(value)
     n = len(value)
-    if not n:
-        return 0.0
     low, plain = value.lower(), value.lower().translate(_LEET)
     if len(low) != n:  # a letter whose lower case is longer
         low = plain = value
     order = math.log10(2)
-    best = [0.0] + [math.inf] * n
+    one = [math.log10(spread or _alphabet(c)) for c in value]
+    cut = 0  # the last place before which something is left out
+    lost = [0]  # how much is left out up to each place
+    best = [0.0]
     dates: dict[int, list[tuple[int, float]]] = {}
-    for start in range(n - 3):
-        for kind, ways in _DATES:
-            if m := kind.match(value, start):
-                dates.setdefault(m.end(), []).append((start, math.log10(ways)))
-    # letters alone are likely a word of some language, and words are far from random
-    spread = 5 if value.isalpha() else 16 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) and not value.isdigit() else 0
+    period = [0] * 5  # how many characters up to here equal the one a block before
+    walk, turns, way = 0, [0], None  # where the walk began; its turns up to each place
     for end in range(1, n + 1):
-        c = value[end - 1]
-        # brute force, one character more
-        best[end] = best[end - 1] + math.log10(spread or _alphabet(c))
-        for start, cost in dates.get(end, ()):
-            best[end] = min(best[end], best[start] + cost + order)
+        last = end - 1
+        if last in cuts:
+            cut = last
+            lost[last] += cuts[last]
+        lost.append(lost[last])
+        for kind, ways in _DATES:
+            if m := kind.match(value, last):
+                dates.setdefault(m.end(), []).append((last, math.log10(ways)))
+        # brute force, one character more, and what is left out before it
+        low_cost = best[last] + one[last] * (1 + cuts.get(last, 0))
+        for start, cost in dates.pop(end, ()):
+            if start >= cut:
+                low_cost = min(low_cost, best[start] + cost + order)
         # words
-        for start in range(max(0, end - _LONGEST), end - 2):
+        for start in range(max(cut, end - _LONGEST), end - 2):
             word = plain[start:end]
             rank = _RANK.get(word)
             if rank is None:
@@ -113,27 +153,39 @@ def guess_cost(value: str) -> float:
                 rank = rank and 2 * rank
             if rank:
                 raw = value[start:end]
-                turns = (1 if raw.islower() else 2 if raw.isupper() or raw.istitle() else 2 ** sum(x.isupper() for x in raw)) * (1 if low[start:end] == word else 4)
-                best[end] = min(best[end], best[start] + math.log10(rank * turns + 1) + order)
+                variants = (1 if raw.islower() else 2 if raw.isupper() or raw.istitle() else 2 ** sum(x.isupper() for x in raw)) * (1 if low[start:end] == word else 4)
+                low_cost = min(low_cost, best[start] + math.log10(rank * variants + 1) + order)
+        going = math.inf
         # repeats of one character, or of a block of up to four
         for block in (1, 2, 3, 4):
-            start = end - 2 * block
-            while start >= 0 and value[start : start + block] == value[end - block : end]:
-                times = (end - start) // block
-                if times * block >= 3:
-                    once = sum(math.log10(_alphabet(x)) for x in value[end - block : end])
-                    best[end] = min(best[end], best[start] + once + math.log10(times) + order)
-                start -= block
+            period[block] = period[block] + 1 if last >= block and value[last] == value[last - block] else 0
+            if not period[block]:
+                continue
+            run = end - block - period[block]
+            once = sum(one[end - block : end]) if spread else sum(math.log10(_alphabet(x)) for x in value[end - block : end])
+            for start in range(run, min(run + HEAD, end - block)):
+                going = min(going, best[start] + once)
+                if (end - start) % block == 0 and end - start >= max(3, 2 * block):
+                    times = (end - start + lost[last] - lost[start]) // block
+                    low_cost = min(low_cost, best[start] + once + math.log10(times) + order)
         # keyboard walks
-        start, turns, way = end - 1, 0, None
-        while start > 0 and (low[start - 1], low[start]) in _TOUCH:
-            step = ord(low[start]) - ord(low[start - 1])
-            turns += way is not None and (step > 0) != way
-            way = step > 0
-            start -= 1
-            if end - start >= 3:
-                best[end] = min(best[end], best[start] + math.log10(47 * (end - start)) + turns * math.log10(4) / 4 + order)
-    return best[n]
+        step = _TOUCH.get((low[last - 1], low[last])) if last and last != cut else None
+        if step:
+            turns.append(turns[-1] + (way is not None and step != way))
+            way = step
+            for start in range(walk, min(walk + HEAD, last)):
+                # the first step is no turn
+                cost = best[start] + math.log10(47 * (end - start)) + (turns[end] - turns[start + 2]) * math.log10(4) / 4 + order
+                going = min(going, cost)
+                if end - start >= 3:
+                    low_cost = min(low_cost, cost)
+        else:
+            walk, way = last, None
+            turns.append(turns[-1])
+        best.append(low_cost)
+        if min(going, *best[-_LONGEST:]) >= CEILING:
+            return CEILING
+    return min(CEILING, best[n])
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
