@@ -70,4 +70,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # every window that starts with an item's shingle, each compared with every item of its length
+    "op1_benchmark_decontamination": r"""
+        WITH split AS (
+            SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark
+        ), items AS (
+            SELECT item_id, w, len(w) AS length, least(5, len(w)) AS size, len(w) - least(5, len(w)) + 1 AS inside FROM split WHERE len(w) > 0
+        ), item_at AS (
+            SELECT *, unnest(range(inside)) AS place FROM items
+        ), item_shingles AS (
+            SELECT item_id, length, size, inside, array_to_string(w[place + 1 : place + size], ' ') AS h, count(*) AS m FROM item_at GROUP BY ALL
+        ), docs AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE doc_id IS NOT NULL
+        ), doc_at AS (
+            SELECT doc_id, w, size, unnest(range(greatest(len(w) - size + 1, 0))) AS p FROM docs, (SELECT DISTINCT size FROM items)
+        ), doc_shingles AS (
+            SELECT doc_id, p, size, array_to_string(w[p + 1 : p + size], ' ') AS h FROM doc_at
+        ), anchors AS (
+            SELECT DISTINCT doc_id, p, length, inside, h FROM doc_shingles JOIN item_shingles USING (size, h)
+        ), windows AS (
+            SELECT a.doc_id, a.length, a.p AS start, b.h, count(*) AS n
+            FROM (SELECT DISTINCT doc_id, length, inside, p FROM anchors) a JOIN anchors b ON a.doc_id = b.doc_id AND a.length = b.length AND b.p BETWEEN a.p AND a.p + a.inside - 1
+            GROUP BY ALL
+        ), scored AS (
+            SELECT doc_id, item_id, start, w.length, sum(least(n, m)) / any_value(inside) AS similarity
+            FROM windows w JOIN item_shingles i ON w.length = i.length AND w.h = i.h
+            GROUP BY ALL HAVING sum(least(n, m)) / any_value(inside) >= 0.8
+        )
+        SELECT doc_id, item_id, similarity, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length FROM scored
+        QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, length) = 1
+    """,
+}
