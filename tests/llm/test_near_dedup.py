@@ -1,5 +1,7 @@
+import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import types as T
 
@@ -49,13 +51,53 @@ def test_matches_brute_force(spark):
     assert result(spark, rows) == brute(rows)
 
 
-def test_chains_reach_the_smallest_id(spark):
+@pytest.mark.parametrize("crowded", [near_dedup.CROWDED, 1])
+def test_chains_reach_the_smallest_id(spark, crowded):
     df = spark.createDataFrame([(0b0,), (0b11,), (0b1111,), (0b11111100,), (-1,)], "fp long")
-    got = {(r.a, r.b) for r in near_dedup.links(df).collect()}
-    assert got == {(3, 0), (15, 3)}
-    assert near_dedup.links(df, 0).count() == 0
+    assert {(r.a, r.b) for r in near_dedup.links(df, crowded=crowded).collect()} == {(3, 0), (15, 3)}
+    assert near_dedup.links(df, 0, crowded).count() == 0
     one = spark.createDataFrame([(0,), (1,), (3,), (-(1 << 63),)], "fp long")
-    assert {(r.a, r.b) for r in near_dedup.links(one, 1).collect()} == {(1, 0), (3, 1), (0, -(1 << 63))}
+    assert {(r.a, r.b) for r in near_dedup.links(one, 1, crowded).collect()} == {(1, 0), (3, 1), (0, -(1 << 63))}
+
+
+@pytest.mark.parametrize("crowded", [near_dedup.CROWDED, 2])
+def test_links_connect_what_is_within_two_bits(spark, crowded):
+    rng = random.Random(12)
+    fps = set()
+    for _ in range(40):
+        f = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 12)):
+            fps.add(f)
+            f ^= sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) % (1 << 64)
+    # many that agree in one half and differ in the other
+    fps |= {(7 << 32) | rng.getrandbits(32) for _ in range(200)} | {(7 << 32) | 1 << k for k in range(32)}
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    got = near_dedup.links(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), crowded=crowded).collect()
+    root = {f: f for f in fps}
+    mine = dict(root)
+
+    def find(roots, x):
+        while roots[x] != x:
+            x = roots[x]
+        return x
+
+    for a in fps:
+        for b in fps:
+            if (a ^ b).bit_count() <= 2:
+                root[find(root, a)] = find(root, b)
+    for r in got:
+        a, b = r.a % (1 << 64), r.b % (1 << 64)
+        assert 0 < (a ^ b).bit_count() <= 2
+        mine[find(mine, a)] = find(mine, b)
+    groups = lambda roots: {frozenset(x for x in fps if find(roots, x) == r) for r in {find(roots, x) for x in fps}}
+    assert groups(mine) == groups(root) and len(groups(root)) < len(fps) - 50
+
+
+def test_rows_without_an_id(spark):
+    rows = [(None, "same text here"), (5, "same text here"), (None, "other words than these")]
+    df = spark.createDataFrame([(i, t, 7) for i, t in rows], DOCS)
+    got = {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(df).collect()}
+    assert got == {(None, 5), (5, 5), (None, None)}
 
 
 def test_empty_table(spark):

@@ -1,10 +1,14 @@
 """SimHash near-duplicates by multi-index hashing.
 
-A fingerprint has two segments of 32 bits. Around each, the Hamming ball of radius one is enumerated inside either
-segment while the other segment stays as it is: 65 table keys for a fingerprint. Two fingerprints at distance two or
-less share a key (each reaches it by at most one flip), and no others meet under one by more than that, so the tables
-give every link. A key holds at most 65 different fingerprints, whatever the data: copies were grouped before.
-Neighbours in a key are linked in order, not all with all; complete distances are verified; components follow.
+A fingerprint has two segments of 32 bits, and a table for each holds the different fingerprints under that segment's
+value. Two fingerprints at distance two or less differ by one bit at most in one of the segments, so each enumerates the
+Hamming ball of radius one around either of its segments, 33 values, fetches what the table holds there, and complete
+distances are verified; components follow. Copies were grouped before and cost nothing.
+
+Many different fingerprints may still agree in a whole segment, as those of long texts made from one form do. A table
+entry of more than CROWDED fingerprints is not compared all with all: those that reach it are put under whole
+fingerprints as keys, each under itself and all 64 flips of one bit. Two at distance two or less share such a key and a
+key holds 65 at most, whatever the data. Neighbours in a key are linked in order.
 
 `representatives` follows another rule, the pipeline's: texts whose sets of five-word shingles have a Jaccard similarity of
 0.8 or more are one group. Its fingerprints are MinHash bands of the whole text, BANDS of them, in which texts of
@@ -29,6 +33,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import simhash, substring_dedup
 from tidemark.llm.common import PLAIN_WORD, ascii_lower, components, forget, words, written
 
+#: Fingerprints of one table entry that are compared with each that reaches it.
+CROWDED = 64
+SEGMENT_BITS = 32
 SHINGLE = 5
 BANDS, ROWS = 20, 4
 _TIMES = np.random.default_rng(78).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -47,39 +54,55 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return sums.select("id", "text_hash", simhash.majority(F.col("n")).alias("fp"), "copies")
 
 
-def ball_keys(fp: Column, radius: int) -> Column:
-    """The table keys of a fingerprint: itself and, for a radius over one, every flip of one bit in either segment."""
-    return F.concat(F.array(fp), simhash.flips(fp)) if radius else F.array(fp)
+def segment_values(fp: Column) -> list[Column]:
+    return [fp.bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)), F.shiftrightunsigned(fp, SEGMENT_BITS)]
+
+
+def _tables(fps: DataFrame, name: str, reach: int) -> DataFrame:
+    """(name, segment, value): each fingerprint under all values within `reach` (0 or 1) bits of each segment."""
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)
+    flips = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.sequence(F.lit(0), F.lit(SEGMENT_BITS - 1)), bit)) if reach else F.array(F.lit(0).cast("long"))
+    rows = fps.select(F.col("fp").alias(name), F.posexplode(F.array(*segment_values(F.col("fp")))).alias("segment", "value"))
+    return rows.withColumn("flip", F.explode(flips)).select(name, "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
 
 
-def links(fps: DataFrame, radius: int = 2) -> DataFrame:
-    """(a, b): verified links between different fingerprints of column `fp` that connect whatever is within `radius`.
+def links(fps: DataFrame, radius: int = 2, crowded: int = CROWDED) -> DataFrame:
+    """(a, b): verified links between different fingerprints of column `fp`, each there once, that connect whatever is within `radius`.
 
-    `radius` is 0 (none), 1 or 2. Links that follow from others by way of a shared key are left out.
+    `radius` is 0 (none) to 2. Of a crowded table entry, links that follow from others by way of a shared key are left out.
     """
     if radius not in (0, 1, 2):
         raise ValueError("radius must be 0, 1 or 2")
-    probes = fps.select("fp", F.explode(ball_keys(F.col("fp"), radius)).alias("key"))
-    order = Window.partitionBy("key").orderBy("fp")
-    pairs = probes.select("fp", F.lag("fp").over(order).alias("other"))
-    if radius == 1:
-        # the key itself must be one of the two
-        own = Window.partitionBy("key")
-        pairs = probes.select("fp", F.max(F.when(F.col("fp") == F.col("key"), F.col("fp"))).over(own).alias("other"))
-    near = F.col("other").isNotNull() & (F.col("other") != F.col("fp")) & (simhash.distance(F.col("fp"), F.col("other")) <= radius)
-    return pairs.where(near).select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct()
+    near = (F.col("other") < F.col("fp")) & (simhash.distance(F.col("fp"), F.col("other")) <= radius)
+    probes, entries = _tables(fps, "fp", radius // 2), _tables(fps, "other", 0)
+    full = written(entries.groupBy("segment", "value").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("segment", "value"), "crowded-entries")
+    if not full.head(1):
+        forget(full)
+        return probes.join(entries, ["segment", "value"]).where(near).select(F.col("fp").alias("a"), F.col("other").alias("b")).distinct()
+    met = probes.join(entries.join(full, ["segment", "value"], "left_anti"), ["segment", "value"]).where(near).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+    reached = probes.join(full, ["segment", "value"], "left_semi").select("fp").distinct()
+    keyed = reached.select("fp", F.explode(F.concat(F.array("fp"), simhash.flips(F.col("fp")))).alias("key"))
+    order = Window.partitionBy("key").orderBy("fp")  # 65 at most
+    # at radius 1 a key's own fingerprint is one of the two
+    other = F.lag("fp").over(order) if radius == 2 else F.max(F.when(F.col("fp") == F.col("key"), F.col("fp"))).over(Window.partitionBy("key"))
+    pairs = keyed.select("fp", other.alias("other")).where(F.col("other").isNotNull() & (F.col("other") != F.col("fp")))
+    pairs = pairs.select(F.greatest("fp", "other").alias("fp"), F.least("fp", "other").alias("other"))
+    return met.unionByName(pairs.where(near).select(F.col("fp").alias("a"), F.col("other").alias("b"))).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
     """(id_col, fingerprint, component_id) for each row; component_id is the smallest id that links reach."""
     fps = written(fingerprints(docs, id_col, text_col, size), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("id").alias("low"))
-    linked = components(links(least.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
+    linked = components(links(least.select("fp"), radius)) if radius else fps.select(F.col("fp").alias("node"), F.col("fp").alias("root")).limit(0)
+    linked = linked.select(F.col("node").alias("fp"), "root")
     by_fp = least.join(linked, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     by_root = by_fp.groupBy("root").agg(F.min("low").alias("component_id"))
     named = by_fp.join(by_root, "root").select("fp", "component_id")
     out = fps.join(named, "fp").select("id", "fp", "component_id", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    return out.select(F.col("id").alias(id_col), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    out = written(out.select(F.col("id").alias(id_col), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id"), "near-duplicates")
+    forget(fps)
+    return out
 
 
 def _bands(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
