@@ -1,6 +1,8 @@
 import hashlib
+import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +35,39 @@ def test_report_digests_and_ties(spark):
     assert got == sorted(want)
 
 
+def plain_fingerprint(text):
+    ws = text.lower().split()
+    hs = [spark_hash(*ws[k : k + 3]) for k in range(max(1, len(ws) - 2))] if ws else [0]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def spark_hash(*terms):
+    """Spark's hash of several columns seeds each with the one before."""
+    h = 42
+    for t in terms:
+        h = xxhash.xxh64_intdigest(t.encode(), h)
+    return h
+
+
+def test_report_matches_brute_force(spark):
+    rng = random.Random(13)
+    base = [f"word{k}" for k in range(300)]
+    rows = [(100 * k if k < 12 else 1000 + 7 * k, " ".join(base[: 250 + k % 3] + [f"x{k}"] * (k % 2))) for k in range(40)]
+    rows += [(200, "one"), (3, None), (300, ""), (5001, "One"), (77, "b a " * 40)] + [(6000 + k, " ".join(rng.choice(base) for _ in range(30))) for k in range(20)]
+    rows = sorted({i: t for i, t in rows}.items())
+    fp = [plain_fingerprint(t or "") for _, t in rows]
+    got = {r.doc_id: r for r in fingerprints.edited_report(frame(spark, rows)).collect()}
+    for k, (i, t) in enumerate(rows):
+        t, other = t or "", rows[(k + 1) % len(rows)][1] or ""
+        edited = plain_fingerprint(t[: len(t) - len(t) // 2] + other[: len(t) // 2])
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (f"{fp[k]:016x}", f"{edited:016x}")
+        assert got[i].near_edited == 1 - (fp[k] ^ edited).bit_count() / 64
+        assert got[i].near_next == 1 - (fp[k] ^ fp[(k + 1) % len(rows)]).bit_count() / 64
+        near = sum((fp[k] ^ f).bit_count() <= fingerprints.RADIUS for f in fp) - 1
+        assert got[i].n_near == (near if i % 100 == 0 else None)
+    assert sum(got[i].n_near for i, _ in rows if i % 100 == 0) > 20
+
+
 def test_equal_texts_have_equal_fingerprints_and_halves_are_nearer(spark):
     rows = [(k, " ".join(f"w{k}x{j}" for j in range(200))) for k in range(20)] + [(100, rows_text := "same text here again"), (101, rows_text)]
     got = {r.doc_id: r for r in fingerprints.edited_report(frame(spark, rows)).collect()}

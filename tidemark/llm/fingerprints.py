@@ -2,7 +2,8 @@
 
 A term is a shingle of words (lower case, split at white space); its weight is how often the text has it. Each term's
 64-bit hash votes with its weight on every bit, and the majority gives the fingerprint. `likeness` of two fingerprints
-is the share of equal bits. `hamming.matches` finds all fingerprints within a radius through permuted block tables.
+is the share of equal bits. `hamming.matches` finds all fingerprints within a radius through permuted block tables; the
+report asks it for every row whose id is divisible by ASKED, against all rows.
 
 Defined results: a null text counts as empty, and a text without words has the fingerprint zero. Repeated rows and ids
 give a result row each. An empty table gives an empty result. Other columns are ignored, whatever their names. Texts of
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import hamming, simhash
-from tidemark.llm.common import words, written
+from tidemark.llm.common import forget, words, written
 
 TERM_WORDS = 3
 WORD = r"\S+"
@@ -23,6 +24,8 @@ WORD = r"\S+"
 BUCKET_ROWS = 2000
 #: Ranges of ids between quantiles; each is cut evenly into as many buckets as its rows need.
 RANGES = 64
+#: The report searches near fingerprints of rows whose id this divides, within so many bits.
+ASKED, RADIUS = 100, 3
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -100,7 +103,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
 
 
 def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = TERM_WORDS) -> DataFrame:
-    """For each row its fingerprint beside that of an edited text and of the next document.
+    """For each row its fingerprint beside that of an edited text and of the next document; and, if ASKED divides its id,
+    `n_near`: the number of other rows whose fingerprints are within RADIUS bits of its own (else null).
 
     The edited text has its last floor(n/2) code points replaced by as many (or all) of the next document's first.
     """
@@ -114,12 +118,19 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     both = fps.groupBy(*keys).agg(
         F.max(F.when(~F.col("is_edited"), F.col("fp"))).alias("fp"), F.max(F.when(F.col("is_edited"), F.col("fp"))).alias("edited_fp"), F.max("copies").alias("copies")
     )
-    both = written(both, "fingerprints")  # read twice below: as the row itself and as its neighbour's next
+    both = written(both, "fingerprints")  # read again below: as the neighbour's next and by the search
+    classes = both.groupBy("fp").agg(F.sum("copies").alias("rows"))
+    found = hamming.matches(both.where(F.col("id") % ASKED == 0), classes, RADIUS)
+    near = found.join(classes, "fp").groupBy(F.col("query").alias("fp")).agg((F.sum("rows") - 1).alias("n_near"))
     other = both.select(F.col("id").alias("o_id"), F.col("h").alias("o_h"), F.col("fp").alias("o_fp")).distinct()
-    out = both.join(other, F.col("next_id").eqNullSafe(F.col("o_id")) & (F.col("next_h") == F.col("o_h")))
+    out = both.join(near, "fp", "left").join(other, F.col("next_id").eqNullSafe(F.col("o_id")) & (F.col("next_h") == F.col("o_h")))
     out = out.select("*", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), "n_chars", F.col("sha").alias("edited_sha256"),
         simhash.hex16(F.col("fp")).alias("fingerprint"), simhash.hex16(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("o_fp")).alias("near_next"),
-    )
+        F.when(F.col("id") % ASKED == 0, F.col("n_near")).alias("n_near"),
+    )
+    out = written(out, "fingerprint-report")
+    forget(both)
+    return out
