@@ -194,14 +194,14 @@ def test_publish_needs_the_expected_generation_and_complete_tables(spark, tmp_pa
 
 
 @pytest.mark.parametrize("raw,phase,slot", [({"version": 2, "max_slot": 7}, "ready", 7), ({"max_slot": None}, "waiting_for_full", None), ({"version": 3, "active": {"phase": "ready", "max_slot": 9, "junk": 1}, "staging": {}}, "ready", 9), ({"version": 4, "active": {"phase": "full_merging"}, "cutover": None}, "full_merging", None), ({"version": 5}, "disabled", None)])
-def test_journal_forms(tmp_path, raw, phase, slot):
+def test_journal_forms(spark, tmp_path, raw, phase, slot):
     path = str(tmp_path / "journal.json")
     with open(path, "w") as f:
         json.dump(raw, f)
-    j = Journal.load(path)
+    j = Journal.load(spark, path)
     assert (j.version, j.active.phase, j.active.max_slot) == (5, phase, slot)
-    j.save(path)
-    assert Journal.load(path) == j
+    j.save(spark, path)
+    assert Journal.load(spark, path) == j
     with pytest.raises(ValueError):
         Journal.migrated({"version": 6})
     with pytest.raises(ValueError):

@@ -40,7 +40,7 @@ def key_or_null(key: Column) -> Column:
 
 
 def align8(x: Column) -> Column:
-    return (F.floor((x + 7) / 8) * 8).cast("long")
+    return (x + 7 - F.pmod(x + 7, F.lit(8))).cast("long")
 
 
 def minus_saturating(a: Column, b: Column | int) -> Column:

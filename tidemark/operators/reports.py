@@ -32,6 +32,20 @@ def catalogue_gaps(table: DataFrame, expected: dict[str, str]) -> DataFrame:
     return both.select("column_name", "expected", "actual", F.when(F.col("actual").isNull(), "missing").otherwise("mismatch").alias("problem"))
 
 
+def table_gaps(have: DataFrame, want: DataFrame) -> DataFrame:
+    """(table_name, column_name, expected, actual, problem) of what `want` lists and `have` lacks or has otherwise; both
+    are (table_name, column_name, kind), a kind being a type, `key n` or `sorted n`. A table that is missing altogether is one row."""
+    tables = have.select("table_name").distinct().withColumn("there", F.lit(True))
+    role = F.regexp_extract("kind", "^(key|sorted) ", 1).alias("role")
+    actual = have.select("table_name", "column_name", role, F.col("kind").alias("actual"))
+    named = want.select("table_name", "column_name", role, F.col("kind").alias("expected"))
+    both = named.join(tables, "table_name", "left").join(actual, ["table_name", "column_name", "role"], "left")
+    missing = both.where("there IS NULL").select("table_name").distinct().select("table_name", *[F.lit(None).cast("string").alias(c) for c in ("column_name", "expected", "actual")], F.lit("missing table").alias("problem"))
+    wrong = both.where("there IS NOT NULL").where(~F.col("actual").eqNullSafe(F.col("expected")))
+    wrong = wrong.select("table_name", "column_name", "expected", "actual", F.when(F.col("actual").isNull(), "missing").otherwise("mismatch").alias("problem"))
+    return missing.unionByName(wrong)
+
+
 def staging_check(info: DataFrame, frozen: DataFrame) -> DataFrame:
     """One row: whether the display table has a row for each frozen token, and any at all."""
     n = info.agg(F.count("*").alias("info_rows")).crossJoin(frozen.agg(F.count("*").alias("frozen_rows")))  # one row each

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # rank = 1 lets Catalyst keep one row of each key before the shuffle (WindowGroupLimit): a hot key costs no task more
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    name = f"rank {uuid.uuid4().hex}"  # no column of a caller's has this name
+    return df.withColumn(name, rank).where(F.col(f"`{name}`") == 1).drop(name)
 
 
 def final_latest(df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str] = (), deleted: str | None = None) -> DataFrame:

@@ -95,7 +95,10 @@ def ingest(records: DataFrame, hot: DataFrame, snapshot_slot: int, kind: str) ->
         *counters(
             {
                 "accounts": F.lit(True), "token_accounts": F.col("account").isNotNull() & (F.col("route") == "token"), "token_ext_accounts": F.col("account").isNotNull() & (F.col("route") == "token_ext"),
-                "mints": F.col("mint_row").isNotNull() & F.col("account").isNull(), "metadata_accounts": F.col("route") == "metadata", "unpack_failed": unread,
+                "token_owner_seen": F.col("route") == "token", "token_ext_owner_seen": F.col("route") == "token_ext",
+                "token_ext_unexpected_size": (F.col("route") == "token_ext") & (F.length("data") < decoders.MINT_LEN),
+                "token_ext_unpack_failed": (F.col("route") == "token_ext") & (F.length("data") >= decoders.MINT_LEN) & F.col("account").isNull() & F.col("mint_row").isNull(),
+                "close_candidates": (F.col("lamports") == 0) & (empty | unread), "mints": F.col("mint_row").isNotNull() & F.col("account").isNull(), "metadata_accounts": F.col("route") == "metadata", "unpack_failed": unread,
                 "unexpected_size": (F.col("route") == "token") & ~F.length("data").isin(decoders.ACCOUNT_LEN, decoders.MINT_LEN), "zero_balance": F.col("account.amount") == 0, "canonical_empty": empty, "other": F.col("route") == "other",
             }
         )
@@ -130,18 +133,37 @@ def full_load(records: DataFrame, hot: DataFrame, snapshot_slot: int, empty_meta
     }
 
 
-def incremental_load(records: DataFrame, hot: DataFrame, snapshot_slot: int, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def fan_out(records: DataFrame, above: dict[str, int | None]) -> dict[str, DataFrame]:
+    """The records of one checkpoint for several lanes: those of slots above what each has seen (None: all)."""
+    return {lane: records if slot is None else records.where(F.col("slot") > slot) for lane, slot in above.items()}
+
+
+def repaired_tombstones(records: DataFrame, state: DataFrame) -> DataFrame:
+    """The tombstones that a checkpoint's closed accounts call for in a state that missed them; nothing else is loaded."""
+    empty = tombstones.canonical_empty(F.col("data_len"), F.col("lamports"), _is("owner", DEFAULT_OWNER), F.col("executable"))
+    closing = tombstones.close_candidates(records.where((F.col("lamports") == 0) & empty).select("slot", "pubkey", "lamports"))
+    return conform(tombstones.tombstones(closing.select(base58("pubkey").alias("pubkey"), "slot"), state), "hot_token_account_state")
+
+
+def read_stats(records: DataFrame) -> dict[str, int]:
+    """What a checkpoint held, for the log: storage files, records, those without lamports."""
+    row = records.agg(F.count_distinct("slot", "file_id").alias("files"), F.count("*").alias("accounts"), F.count_if(F.col("lamports") == 0).alias("without_lamports")).first()
+    return row.asDict()
+
+
+def incremental_load(records: DataFrame, hot: DataFrame, snapshot_slot: int, tables: dict[str, DataFrame], by_pair: DataFrame | None = None) -> dict[str, DataFrame]:
     """The rows to append for an incremental checkpoint. `hot` is the generation's frozen list, whatever the list is now.
 
     State and tombstones come first; balances are then computed for the touched pairs over old and new state together.
-    The display table is a full load's business.
+    The display table is a full load's business. `by_pair`: the state's copy that is sorted by pairs, to read them from.
     """
     got = ingest(records, hot, snapshot_slot, "incremental")
     known = final_latest(tables["raw_token_metadata"], ["mint"], "updated_slot")
     gone = conform(tombstones.tombstones(got.close_candidates, tables["hot_token_account_state"].unionByName(got.state)), "hot_token_account_state")
     state = got.state.unionByName(gone)
     pairs = balances.affected_pairs(got.state, gone)
-    refreshed = balances.refreshed_balances(tables["hot_token_account_state"].unionByName(state), pairs, snapshot_slot)
+    old = tables["hot_token_account_state"] if by_pair is None else by_pair
+    refreshed = balances.refreshed_balances(old.unionByName(state), pairs, snapshot_slot)
     return {
         "raw_account": got.raw_account, "raw_token_mint": got.mints, "raw_token_metadata": metadata_rows(got, known, snapshot_slot),
         "hot_token_account_state": state, "hot_wallet_token_balance": conform(refreshed, "hot_wallet_token_balance"),

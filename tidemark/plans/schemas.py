@@ -31,6 +31,15 @@ KEYS = {
     "hot_wallet_token_balance": ["mint", "owner"],
     "hot_token_info": ["mint"],
 }
+#: How the copies of each table are sorted, the first one being the table itself.
+ORDERS = {
+    "raw_account": [["owner", "pubkey"], ["pubkey"]],
+    "raw_token_mint": [["mint"]],
+    "raw_token_metadata": [["mint"]],
+    "hot_token_account_state": [["pubkey"], ["mint", "owner", "pubkey"]],
+    "hot_wallet_token_balance": [["mint", "amount_raw", "owner"], ["owner", "mint"]],
+    "hot_token_info": [["mint"]],
+}
 HOT_TOKEN = _of("mint:string enable:byte version:long")
 
 

@@ -2,8 +2,9 @@
 
 `spark.read.format("ledger_archive").load(path)` reads a .tar.zst (or .tar) archive: the manifest must come before the
 storage files; its path `snapshots/<slot>/<slot>` gives the checkpoint's slot. Storage files at or under the option
-`min_slot` are passed over without being decoded. Storage files are decoded inside the reader, in batches, because one
-may be larger than a binary value can be. Repartition before heavy work: the archive itself can't be split.
+`min_slot` are passed over without being decoded. Storage files are decoded as they stream by, in batches, because one
+may be larger than memory. Their valid lengths are those that the manifest lists; without a list they count whole.
+Repartition before heavy work: the archive itself can't be split.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.functions.scalar import storage_name
+from tidemark.sources import manifest as manifest_body
 from tidemark.sources import records
 
 _STORAGE = re.compile(r"(?:^|/)accounts/(\d+)\.(\d+)$")
@@ -37,13 +39,7 @@ class UnexpectedStorage(ValueError):
 
 def open_stream(path: str) -> io.BufferedIOBase:
     """A byte stream of a local path or any URI that Arrow's file systems know; .zst is decompressed."""
-    if "://" in path:
-        from pyarrow import fs
-
-        at, inner = fs.FileSystem.from_uri(path)
-        raw = at.open_input_stream(inner, compression=None)
-    else:
-        raw = open(path, "rb")
+    raw = records.open_bytes(path)
     if path.split("?")[0].endswith(".zst"):
         import zstandard
 
@@ -57,13 +53,15 @@ def manifest_slot(name: str) -> int | None:
     return int(m[1]) if m and m[1] == m[2] else None
 
 
-def entries(path: str, min_slot: int | None = None) -> Iterator[tuple[int, int, int, bytes]]:
-    """(checkpoint slot, slot, file id, content) of each storage file, in the archive's order."""
+def entries(path: str, min_slot: int | None = None) -> Iterator[tuple[int, int, int, Iterator[tuple]]]:
+    """(checkpoint slot, slot, file id, records) of each storage file, in the archive's order; the records must be read
+    before the next file is asked for."""
     found: int | None = None
+    listed: dict[tuple[int, int], int] = {}
     with open_stream(path) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
         for member in tar:
             if found is None and (slot := manifest_slot(member.name)) is not None:
-                found = slot
+                found, listed = slot, manifest_body.valid_lengths(tar.extractfile(member)) if member.size else {}
                 continue
             m = _STORAGE.search(member.name)
             if not m or not member.isfile():
@@ -72,7 +70,11 @@ def entries(path: str, min_slot: int | None = None) -> Iterator[tuple[int, int,
                 raise UnexpectedStorage(f"{member.name} comes before the manifest")
             if min_slot is not None and int(m[1]) <= min_slot:
                 continue
-            yield found, int(m[1]), int(m[2]), tar.extractfile(member).read()
+            valid = listed.get((int(m[1]), int(m[2]))) if listed else member.size
+            if valid is None:
+                raise UnexpectedStorage(f"storage file {m[1]}.{m[2]} is not in the manifest")
+            records.check_size(member.size, valid)
+            yield found, int(m[1]), int(m[2]), records.walk_stream(tar.extractfile(member).read, valid)
     if found is None:
         raise NoManifest(path)
 
@@ -86,9 +88,8 @@ class ArchiveReader(DataSourceReader):
         return [InputPartition(0)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        for _, slot, file_id, content in entries(self.path, self.min_slot):
-            records.check_size(len(content), len(content))
-            yield from records.batches(slot, file_id, content)
+        for _, slot, file_id, found in entries(self.path, self.min_slot):
+            yield from records.stacked(slot, file_id, found)
 
 
 class ArchiveSource(DataSource):
@@ -126,10 +127,10 @@ def directory_slot(path: str) -> int:
 
 
 def storage_files(spark: SparkSession, path: str, min_slot: int | None = None) -> DataFrame:
-    """(slot, file_id, content) of an unpacked directory's storage files; names of another form are passed over."""
-    files = spark.read.format("binaryFile").load(os.path.join(path, "accounts"))
+    """(slot, file_id, path, length) of an unpacked directory's storage files; names of another form are passed over."""
+    files = spark.read.format("binaryFile").load(os.path.join(path, "accounts"))  # the content column is never read
     name = F.element_at(F.split("path", "/"), -1)
-    out = files.select(storage_name(name, 1).alias("slot"), storage_name(name, 2).alias("file_id"), "content").where("slot IS NOT NULL AND file_id IS NOT NULL")
+    out = files.select(storage_name(name, 1).alias("slot"), storage_name(name, 2).alias("file_id"), "path", "length").where("slot IS NOT NULL AND file_id IS NOT NULL")
     return out if min_slot is None else out.where(F.col("slot") > min_slot)
 
 
@@ -147,8 +148,10 @@ def with_valid_length(files: DataFrame, manifest: DataFrame | None) -> DataFrame
 def read_checkpoint(spark: SparkSession, path: str, min_slot: int | None = None, manifest: DataFrame | None = None) -> tuple[DataFrame, int]:
     """The records of an archive or directory, and its slot."""
     if os.path.isdir(path):
-        files = with_valid_length(storage_files(spark, path, min_slot), manifest)
-        return records.decode(files), directory_slot(path)
+        slot = directory_slot(path)
+        if manifest is None:
+            manifest = directory_manifest(spark, path, slot)
+        return records.decode_files(with_valid_length(storage_files(spark, path, min_slot), manifest)), slot
     spark.dataSource.register(ArchiveSource)
     reader = spark.read.format("ledger_archive")
     if min_slot is not None:
@@ -156,6 +159,16 @@ def read_checkpoint(spark: SparkSession, path: str, min_slot: int | None = None,
     return reader.load(path), archive_slot(path)
 
 
+def directory_manifest(spark: SparkSession, path: str, slot: int) -> DataFrame | None:
+    """(slot, file_id, valid_len) that the directory's manifest lists, if it has one."""
+    at = os.path.join(path, "snapshots", str(slot), str(slot))
+    if not os.path.isfile(at) or not os.path.getsize(at):
+        return None
+    with open(at, "rb") as f:
+        listed = manifest_body.valid_lengths(f)
+    return spark.createDataFrame([(s, i, n) for (s, i), n in listed.items()], "slot long, file_id long, valid_len long")
+
+
 def file_count(path: str) -> int | None:
     """How many storage files a directory has; an archive doesn't tell."""
     return sum(bool(_NAME.match(x)) for x in os.listdir(os.path.join(path, "accounts"))) if os.path.isdir(path) else None

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import snapshot_kind
+from tidemark.sources import paths
 
 _KEY = r"[1-9A-HJ-NP-Za-km-z]+"
 _FULL = rf"^snapshot-(\d+)-({_KEY})\.tar\.zst$"
@@ -27,9 +26,8 @@ def catalogue(names: DataFrame, path: str = "path") -> DataFrame:
 
 
 def discover(spark: SparkSession, directory: str) -> DataFrame:
-    """The archives of a local directory."""
-    paths = [(e.path,) for e in os.scandir(directory) if e.is_file()]
-    return catalogue(spark.createDataFrame(paths, "path string"))
+    """The archives of a directory."""
+    return catalogue(spark.createDataFrame([(p,) for p in paths.files(spark, directory)], "path string"))
 
 
 def eligible_incrementals(archives: DataFrame, last: int) -> DataFrame:

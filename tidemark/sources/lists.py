@@ -18,6 +18,15 @@ def read_hot_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(checked.alias("mint"), F.lit(1).cast("byte").alias("enable"), F.lit(1).cast("long").alias("version"))
 
 
+def append_hot(mints: DataFrame, path: str) -> None:
+    """Add the tokens of an import to the list's table; the latest version of each counts (`token_info.enabled`)."""
+    mints.select("mint", "enable", "version").write.mode("append").parquet(path)
+
+
+def read_hot(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("mint string, enable byte, version long").parquet(path)
+
+
 def write_frozen(mints: DataFrame, path: str) -> None:
     """One mint a line, sorted in files; Spark's commit makes the folder appear whole."""
     mints.select("mint").distinct().sortWithinPartitions("mint").write.mode("errorifexists").text(path)

@@ -8,7 +8,7 @@ record that doesn't fit in the valid length.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from decimal import Decimal
 
 import pyarrow as pa
@@ -74,6 +74,27 @@ def walk(blob: bytes | memoryview, valid: int | None = None) -> Iterator[tuple]:
         at = _up8(data + size)
 
 
+def walk_stream(read: Callable[[int], bytes], end: int, chunk: int = 8 << 20) -> Iterator[tuple]:
+    """`walk` over the first `end` bytes of a stream, of which no more than a record and `chunk` bytes are held."""
+    held, start, got = b"", 0, 0
+    wanted = chunk
+    while True:
+        while got < end and len(held) < wanted:
+            more = read(min(end - got, max(wanted - len(held), chunk)))
+            if not more:
+                raise EOFError(f"storage file has {got} bytes, {end} are required")
+            got += len(more)
+            held += more
+        at = 0
+        for at, *row in walk(held):
+            yield start + at, *row
+            at = _up8(_up8(_up8(_up8(at + _HEAD.size) + _ACCOUNT.size) + _HASH) + len(row[-1]))
+        if got >= end:
+            return
+        held, start = held[at:], start + at
+        wanted = max(chunk, 2 * len(held))  # a record that is longer than what is held
+
+
 def pack(records: Iterable[tuple]) -> bytes:
     """The storage file of (pubkey, lamports, rent_epoch, owner, executable, hash, data) records; `walk` undoes it."""
     out = bytearray()
@@ -85,10 +106,14 @@ def pack(records: Iterable[tuple]) -> bytes:
 
 
 def batches(slot: int, file_id: int, blob: bytes | memoryview, valid: int | None = None) -> Iterator[pa.RecordBatch]:
+    return stacked(slot, file_id, walk(blob, valid))
+
+
+def stacked(slot: int, file_id: int, found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     """Arrow batches of a file's records, cut by rows and by bytes, so a file of many GB never stands in one batch."""
     rows: list[tuple] = []
     held = 0
-    for offset, key, lamports, rent, owner, executable, digest, data in walk(blob, valid):
+    for offset, key, lamports, rent, owner, executable, digest, data in found:
         rows.append((slot, file_id, offset, key, Decimal(lamports), Decimal(rent), owner, executable, digest, len(data), data))
         held += len(data)
         if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
@@ -115,6 +140,34 @@ def decode(blobs: DataFrame) -> DataFrame:
     return blobs.select("slot", "file_id", "valid_len", "content").mapInArrow(run, RECORD_SCHEMA)
 
 
+def decode_files(files: DataFrame) -> DataFrame:
+    """Records of (slot, file_id, valid_len, path, length) rows: each file is opened where it is decoded, and read in pieces."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for slot, file_id, valid, path, length in zip(*(part.column(k).to_pylist() for k in range(5))):
+                end = length if valid is None else valid
+                check_size(length, end)
+                with open_bytes(path) as f:
+                    yield from stacked(slot, file_id, walk_stream(f.read, end))
+
+    return files.select("slot", "file_id", "valid_len", "path", "length").mapInArrow(run, RECORD_SCHEMA)
+
+
+def open_bytes(path: str):
+    """A byte stream of a local path or any URI that Arrow's file systems know."""
+    if path.startswith("file:"):
+        from urllib.parse import unquote, urlsplit
+
+        return open(unquote(urlsplit(path).path), "rb")
+    if "://" in path:
+        from pyarrow import fs
+
+        at, inner = fs.FileSystem.from_uri(path)
+        return at.open_input_stream(inner, compression=None)
+    return open(path, "rb")
+
+
 def encode(accounts: DataFrame) -> DataFrame:
     """(slot, file_id, valid_len, content): storage files of decoded records, one for each (slot, file_id)."""
 

@@ -3,7 +3,9 @@
 `spark.readStream.format("ledger_archives").load(folder)` gives the records of each new archive with the archive's slot
 and kind. From a slot, the furthest incremental that starts at or before it is taken, else the furthest full archive;
 storage files at or under the slot that was reached before are passed over, so nothing is read twice. Options:
-`start_slot` (where to begin, -1 by default). The trigger's interval is the poll interval; the query's checkpoint keeps
+`start_slot` (where to begin, -1 by default) and `max_archives` (by how many archives each look goes
+further than the one before it, so that a query that has fallen behind isn't offered everything at once; no bound by
+default). The trigger's interval is the poll interval; the query's checkpoint keeps
 the slot that was reached.
 """
 
@@ -60,12 +62,18 @@ class Archive(InputPartition):
 class Reader(DataSourceStreamReader):
     def __init__(self, options: dict) -> None:
         self.folder, self.start = options["path"], int(options.get("start_slot", -1))
+        self.most = int(options["max_archives"]) if "max_archives" in options else None
+        self.offered = 0
 
     def initialOffset(self) -> dict:
         return {"slot": self.start}
 
     def latestOffset(self) -> dict:
         steps = chain(listed(self.folder), self.start)
+        if self.most:
+            # a query that resumes knows where it is only after it has been offered more than that
+            self.offered = min(self.offered + self.most, len(steps))
+            steps = steps[: self.offered]
         return {"slot": steps[-1][2] if steps else self.start}
 
     def partitions(self, start: dict, end: dict) -> list[Archive]:
@@ -74,14 +82,13 @@ class Reader(DataSourceStreamReader):
         return [Archive(path, "full" if base is None else "incremental", slot, None if base is None else before) for path, base, slot, before in steps]
 
     def read(self, partition: Archive) -> Iterator[pa.RecordBatch]:
-        for _, slot, file_id, content in archive.entries(partition.path, partition.before):
-            records.check_size(len(content), len(content))
-            for batch in records.batches(slot, file_id, content):
+        for _, slot, file_id, found in archive.entries(partition.path, partition.before):
+            for batch in records.stacked(slot, file_id, found):
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array([partition.slot] * n, pa.int64()), pa.array([partition.kind] * n), *batch.columns], names=SCHEMA.names)
 
     def commit(self, end: dict) -> None:
-        self.start = end["slot"]  # later offsets are looked for from here
+        self.start, self.offered = end["slot"], 0  # later offsets are looked for from here
 
 
 class ArchiveStream(DataSource):
