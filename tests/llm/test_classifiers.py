@@ -100,6 +100,129 @@ def test_stage_keeps_columns(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
 
 
+U64 = (1 << 64) - 1
+
+
+def plain_bucket(h, bits):
+    return (h * int(ngrams._MIX) & U64) >> (64 - bits)
+
+
+def plain_grams(codes, n, bits):
+    out = []
+    for k in range(len(codes) - n + 1):
+        h = codes[k] * int(ngrams._ODD[n]) & U64
+        for c in codes[k + 1 : k + n]:
+            h = (h * int(ngrams._ODD[n + 1]) + c) & U64
+        out.append(plain_bucket(h, bits))
+    return out
+
+
+def plain_counts(text):
+    """n-grams of what letters stand between boundaries, one for all that lies between two words."""
+    if not any(c.isalpha() for c in text.lower()):
+        return None
+    codes = [0]
+    for c in text.lower():
+        if c.isalpha():
+            codes.append(ord(c))
+        elif codes[-1] or len(codes) == 1:
+            codes.append(0)
+    codes.append(0)
+    out = {}
+    for k, n in enumerate(language_id.ORDERS):
+        for b in plain_grams(codes, n, language_id.BITS):
+            key = (k << language_id.BITS) + b
+            out[key] = out.get(key, 0) + 1
+    return out
+
+
+def test_language_matches_a_plain_nearest_centroid():
+    rows = corpus(60)
+    texts, langs = [r[1] for r in rows], [r[2] for r in rows]
+    model = language_id.train(texts, langs, k=1)
+    bags = [plain_counts(t) for t in texts]
+    df = {}
+    for b in bags:
+        for key in b:
+            df[key] = df.get(key, 0) + 1
+    idf = lambda key: np.log((1 + len(bags)) / (1 + df.get(key, 0))) + 1
+
+    def vector(bag):
+        v = {k: np.sqrt(n) * idf(k) for k, n in bag.items()}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {k: x / size for k, x in v.items()}
+
+    centres = {}
+    for lang in set(langs):
+        total = {}
+        for bag, own in zip(bags, langs):
+            if own == lang:
+                for k, x in vector(bag).items():
+                    total[k] = total.get(k, 0) + x
+        size = np.sqrt(sum(x * x for x in total.values()))
+        centres[lang] = {k: x / size for k, x in total.items()}
+    for text in [*texts[:20], "Tion, que! les 12 ung", "ba", "É-è  --  ß1ß", "x" * 500]:
+        v = vector(plain_counts(text))
+        near = {lang: sum(x * c.get(k, 0) for k, x in v.items()) for lang, c in centres.items()}
+        names, score, _ = model.predict(language_id.counts(text)[None, :])
+        best = max(near.values())
+        assert abs(score[0] - best) < 1e-4 and abs(near[names[0]] - best) < 1e-4
+    assert plain_counts("12 !") is None and language_id.counts("12 !") is None
+
+
+def plain_features(text):
+    """Lists of table rows by kind, as the docstring has them."""
+    codes, step = [ord(c) for c in text], 1 << quality.BITS
+    words = []
+    for w in text.split():
+        words.append(sum((ord(c) + 1) * int(ngrams._ODD[k & 63]) for k, c in enumerate(w)) * int(ngrams._MIX) & U64)
+    pairs = [plain_bucket((a * 3 + b) & U64, quality.BITS) + 3 * step for a, b in zip(words, words[1:])]
+    again = [(a == b) + 2 * (k > 0 and words[k - 1] == b) + 4 * step for k, (a, b) in enumerate(zip(words, words[1:]))]
+    kinds = [plain_grams(codes, 3, quality.BITS), [b + step for b in plain_grams(codes, 4, quality.BITS)], [plain_bucket(w, quality.BITS) + 2 * step for w in words], pairs, again]
+    return [k for k in kinds if k]
+
+
+def test_quality_matches_a_plain_gradient_descent(monkeypatch):
+    monkeypatch.setattr(quality, "UPDATES", 60)
+    rng = random.Random(6)
+    texts = [" ".join(word(rng, "aa") for _ in range(rng.randint(2, 9))) if k % 3 else "".join(rng.choice("XY! ") for _ in range(20)) for k in range(20)]
+    labels = [int(k % 3 > 0) for k in range(20)]
+    model = quality.train(texts, labels, (30, 10))
+    draw = np.random.default_rng(5)
+    table = draw.uniform(-1 / quality.DIM, 1 / quality.DIM, (quality.ROWS, quality.DIM)).astype(np.float32).astype(float)
+    out, bias = np.zeros((2, quality.DIM)), np.zeros(2)
+    total, done = 6 * len(texts), 0
+    for _ in range(6):
+        for k in draw.permutation(len(texts)):
+            rate = quality.RATE * (1 - done / total)
+            done += 1
+            kinds = plain_features(texts[k])
+            h = sum((np.mean([table[r] for r in kind], axis=0) for kind in kinds), np.zeros(quality.DIM))
+            z = out @ h + bias
+            p = np.exp(z) / np.exp(z).sum()
+            wanted = np.full(2, quality.SMOOTH)
+            wanted[labels[k]] = 1 - quality.SMOOTH
+            error = p - wanted
+            back = error @ out
+            out, bias = out - rate * np.outer(error, h), bias - 0.1 * rate * error
+            for kind in kinds:
+                for r in kind:
+                    table[r] -= rate * quality.STEP * back / len(kind)
+    shift = np.log((10 / 30) / (sum(labels) / (len(labels) - sum(labels))))
+    for text in [*texts, "ba de never seen", "", "a"]:
+        mine = sum((np.mean([table[r] @ (out[1] - out[0]) for r in kind]) for kind in plain_features(text)), bias[1] - bias[0] + shift)
+        assert abs(model.logit(text) - mine) < 1e-3
+
+
+def test_samples_are_bounded_whatever_the_table(spark):
+    rows = spark.range(30_000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'rare' WHEN id % 10 < 9 THEN 'often' END AS lang")
+    n = {r.lang: r["count"] for r in ngrams.sample(rows, "lang", 500, "id").groupBy("lang").count().collect()}
+    assert n.keys() == {"rare", "often"} and all(400 < x < 600 for x in n.values())
+    assert ngrams.sample(rows.where("id < 100"), "lang", 500, "id").count() == 90
+    with pytest.raises(ValueError):
+        ngrams.sample(rows, "id", 500, "id")
+
+
 def test_fold(spark):
     ids = [0, 1, 17, 123456789, -5]
     got = spark.createDataFrame([(i,) for i in ids], "i long").select("i", fold(__import__("pyspark").sql.functions.col("i"), 5).alias("f")).collect()

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 _ODD = (np.random.default_rng(20240607).integers(0, 1 << 31, 64, dtype=np.uint64) * 2 + 1).astype(np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Parts into which a sample's hash cuts the rows; finer than any table has rows.
+_FINE = 1 << 62
 
 
 @lru_cache(1)
@@ -61,15 +63,18 @@ def word_hashes(c: np.ndarray) -> np.ndarray:
 
 
 def sample(rows: DataFrame, label: str, per_label: int, *keys: str, labels: int = 1000) -> DataFrame:
-    """About `per_label` rows of each label (of the `labels` most frequent ones), picked by a hash of `keys`.
+    """About `per_label` rows of each label, picked by a hash of `keys`.
 
-    The bound is on what a classifier is fitted on; nothing is ranked or sorted, so a frequent label costs nothing.
+    The bound is on what a classifier is fitted on; nothing is ranked or sorted, so a frequent label costs nothing. More
+    than `labels` labels are an error, as the sample would have no bound then.
     """
-    sizes = rows.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()
+    sizes = rows.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(labels + 1).collect()
+    if len(sizes) > labels:
+        raise ValueError(f"column {label} has more than {labels} labels")
     if not sizes:
         return rows.limit(0)
     share = None
     for value, n in sizes:
-        rule = (F.col(label) == F.lit(value)) & (F.pmod(F.xxhash64(*keys), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, per_label / n)) + 1))
+        rule = (F.col(label) == F.lit(value)) & (F.pmod(F.xxhash64(*keys), F.lit(_FINE)) < F.lit(max(1, -(-_FINE * min(per_label, n) // n))))
         share = rule if share is None else share | rule
     return rows.where(share)
