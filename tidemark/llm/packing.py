@@ -7,8 +7,9 @@
 3. The counts are rounded down and held to what is left of each length. The residual pieces are packed best fit,
    longest first, again by lengths and counts: each step makes a pattern and repeats it as often as its lengths last.
 4. The plan is a short table of runs: the pieces of one length ranked a to b take consecutive sequences at one offset.
-   Pieces are ranked within their length in two levels (length and a hash group), so a length that a third of all
-   pieces have is not ranked by one task, and joined to the plan by length and rank.
+   Pieces are ranked within their length in two levels (length and a hash group), as many groups as the commonest
+   length needs, so a length that a third of all pieces have is not ranked by one task, and joined to the plan by length
+   and rank. Whole pieces fill a sequence each and are not ranked at all.
 
 Defined results: null and empty texts are one piece that holds the end token only. Repeated rows and ids are packed
 each; ids don't matter for the packing. An empty table gives an empty result. Texts are tokenized whole. Other columns
@@ -28,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import forget, written
 
 CAPACITY = 2048
 #: Words whose ids a Python worker remembers, from task to task; when full it forgets all but the first quarter. It
 #: bounds memory and changes no result.
 CACHE_WORDS = 600_000
-#: Hash groups in which the pieces of a length are ranked.
-RANK_GROUPS = 64
+#: Pieces of one length that a task ranks, about, and hash groups at least.
+GROUP_ROWS, RANK_GROUPS = 200_000, 16
+#: Rows of counts that are broadcast at most; a larger table is joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _PIECES = "doc_id long, doc_key long, piece int, start long, length long, ids_crc32 long"
 #: Python's split() also cuts at these; the tokenizers here don't.
 _PUNCTUATION = ".,;:!?|%&*$#"
@@ -236,22 +239,31 @@ def plan(counts: np.ndarray) -> tuple[list[tuple[int, int, int, int, int]], int]
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each piece with its sequence_id and offset there."""
     spark = docs.sparkSession
-    cut = written(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces")
-    cut = cut.withColumn("group", F.pmod(F.xxhash64("doc_key", "piece"), F.lit(RANK_GROUPS)))
-    sizes = cut.groupBy("length", "group").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("length", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    every = written(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces")
     counts = np.zeros(capacity + 1, np.int64)
-    for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows
+    for r in every.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most `capacity` rows
         counts[r["length"]] = r["n"]
-    runs, _ = plan(counts)
+    whole, counts[capacity] = int(counts[capacity]), 0
+    runs, sequences = plan(counts)
+    # a run for each pattern's use of a length: patterns are at most as many as lengths and residual steps
     placed = spark.createDataFrame(runs, "length long, a long, b long, first long, at long")
+    groups = max(RANK_GROUPS, -(-int(counts.max()) // GROUP_ROWS))
+    cut = every.where(F.col("length") < capacity).withColumn("group", F.pmod(F.xxhash64("doc_key", "piece"), F.lit(groups)))
+    sizes = cut.groupBy("length", "group").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("length", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+
+    def bounded(df: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
     order = Window.partitionBy("length", "group").orderBy("doc_key", "doc_id", "piece", "ids_crc32")
-    ranked = cut.withColumn("r", F.row_number().over(order) - 1).join(F.broadcast(offsets), ["length", "group"])
+    ranked = cut.withColumn("r", F.row_number().over(order) - 1).join(bounded(offsets, groups * np.count_nonzero(counts)), ["length", "group"])
     ranked = ranked.withColumn("rank", F.col("r") + F.col("before"))
-    held = ranked.join(F.broadcast(placed), (ranked["length"] == placed["length"]) & (F.col("rank") >= F.col("a")) & (F.col("rank") < F.col("b")))
-    return held.select(
-        F.col("doc_id").alias(id_col), "piece", "start", ranked["length"].alias("length"), "ids_crc32",
-        (F.col("first") + F.col("rank") - F.col("a")).alias("sequence_id"), F.col("at").alias("offset"),
-    )
+    held = ranked.join(bounded(placed, len(runs)), (ranked["length"] == placed["length"]) & (F.col("rank") >= F.col("a")) & (F.col("rank") < F.col("b")))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    held = held.select("doc_id", "piece", "start", ranked["length"].alias("length"), "ids_crc32", (F.col("first") + F.col("rank") - F.col("a")).alias("sequence_id"), F.col("at").alias("offset"))
+    alone = every.where(F.col("length") == capacity).withColumns({"sequence_id": F.lit(sequences) + F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    out = held.unionByName(alone.select(columns)) if whole else held
+    out = written(out.withColumnRenamed("doc_id", id_col), "packed")  # the numbers of whole pieces are drawn once
+    forget(every)
+    return out
