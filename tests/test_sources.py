@@ -137,7 +137,7 @@ def test_instruction_histogram(spark, tmp_path):
         info.size = len(one)
         t.addfile(info, io.BytesIO(one))
     stream.seek(0)
-    assert programs.read_program_tar(spark, stream).count() == 1
+    assert programs.read_program_tar(spark, stream, str(tmp_path / "aside")).count() == 1
     with pytest.raises(ValueError):
         programs.text_section(b"no elf")
 

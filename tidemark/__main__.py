@@ -138,8 +138,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     logging.basicConfig(level=args.log_level, filename=args.log_file, format="%(asctime)s %(levelname)s %(message)s")
     spark = spark or SparkSession.builder.appName("tidemark").getOrCreate()
     if args.command == "opcodes":
-        rows = programs.read_program_tar(spark, sys.stdin.buffer) if args.source == "-" else programs.read_programs(spark, args.source)
+        aside = f"{args.out.rstrip('/')}-{uuid.uuid4().hex}"
+        rows = programs.read_program_tar(spark, sys.stdin.buffer, aside) if args.source == "-" else programs.read_programs(spark, args.source)
         programs.write_histogram(programs.histogram(programs.instruction_counts(rows)), args.out)
+        paths.delete(spark, aside)
         return 0
     if not args.store:
         parser.error("--store is needed")

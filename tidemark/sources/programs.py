@@ -79,11 +79,24 @@ def read_programs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("program"), "content")
 
 
-def read_program_tar(spark: SparkSession, stream) -> DataFrame:
-    """(program, content) of a tar of ELF files, read from a stream such as standard input. A tool's input, so small."""
+def read_program_tar(spark: SparkSession, stream, folder: str, held: int = 64 << 20) -> DataFrame:
+    """(program, content) of a tar of ELF files, read from a stream such as standard input. Programs go to `folder` as
+    they come, so the driver holds `held` bytes and one program at most."""
+    schema, rows, size = "program string, content binary", [], 0
+
+    def put() -> None:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(folder)
+
     with tarfile.open(fileobj=stream, mode="r|") as tar:
-        rows = [(m.name, tar.extractfile(m).read()) for m in tar if m.isfile()]
-    return spark.createDataFrame(rows, "program string, content binary")
+        for member in tar:
+            if member.isfile():
+                rows.append((member.name, tar.extractfile(member).read()))
+                size += len(rows[-1][1])
+                if size >= held:
+                    put()
+                    rows, size = [], 0
+    put()
+    return spark.read.schema(schema).parquet(folder)
 
 
 def write_histogram(rows: DataFrame, path: str) -> None:
