@@ -37,20 +37,20 @@ def test_any_shared_run_of_44_words_has_a_block_in_common(seed):
 
 def test_unit_hashes_depend_on_words_alone():
     text = "é one two three four five six seven eight nine ten eleven twelve 13 14 15 16 17 18 19 20 21"
-    (u, c, start, end, para), bands = units("x " * 50 + "\n" + text.replace(" ", "  ") + "\nshort line")
+    (u, c, start, length, para), bands = units("x " * 50 + "\n" + text.replace(" ", "  ") + "\nshort line")
     (v, d, *_), other = units(text)
     assert para.sum() == 2 and (u[1], c[1]) == (v[0], d[0]) and (bands[1] == other[0]).all()
-    assert ("x " * 50 + "\n" + text.replace(" ", "  "))[start[1] : end[1]] == text.replace(" ", "  ")
+    assert ("x " * 50 + "\n" + text.replace(" ", "  "))[start[1] : start[1] + length[1]] == text.replace(" ", "  ")
 
 
 def test_words_of_unusual_length_and_order_have_other_hashes():
     # sums of characters with weights that repeat every 64 places can't tell such words apart
     rng = random.Random(9)
-    a = ["".join(rng.choice("ab") for _ in range(200)) for _ in range(21)]
+    a = ["".join(rng.choice("ab") for _ in range(200)) for _ in range(60)]
     b = [w[64:128] + w[:64] + w[128:] for w in a]
     (u, c, *_), _ = units(" ".join(a))
     (v, d, *_), _ = units(" ".join(b))
-    assert not set(zip(u, c)) & set(zip(v, d)) and not set(S.word_hashes([a])[0]) & set(S.word_hashes([b])[0])
+    assert len(u) > 1 and not set(zip(u, c)) & set(zip(v, d)) and not set(S.word_hashes([a])[0]) & set(S.word_hashes([b])[0])
     thue = ["a"]
     for _ in range(12):
         thue += ["b" if w == "a" else "a" for w in thue]
@@ -60,10 +60,13 @@ def test_words_of_unusual_length_and_order_have_other_hashes():
 
 def test_units_of_one_key_and_different_texts_are_told_apart(spark):
     rows = [(1, 7, 100), (2, 7, 100), (3, 7, 200), (4, 8, 1), (5, 9, 2), (6, 9, 2)]
-    found, repeated = S.told_apart(S.written(spark.createDataFrame(rows, "doc long, unit long, check long"), "units"))
-    unit = {r.doc: r.unit for r in found.collect()}
+    df = spark.createDataFrame([(d, d, u, c, 5, 3) for d, u, c in rows], "doc long, key long, unit long, check int, start int, length int")
+    unit = {r.doc: r.unit for r in S.told_apart(df).collect()}
     assert unit[1] == unit[2] != unit[3] and unit[4] == 8 and unit[5] == unit[6] == 9
-    assert {(r.unit, r.low, r.high) for r in repeated.collect()} == {(unit[1], 1, 2), (9, 5, 6)}
+    assert {r.unit for r in S.told_apart(df.where("doc <> 3")).collect()} == {7, 8, 9}
+    for hot in (1, 100):
+        got = {(r.doc, r.unit, r.first_doc_id, r.end) for r in S.repeated_blocks(df, [], hot).collect()}
+        assert got == {(1, 7, 1, 8), (2, 7, 1, 8), (5, 9, 5, 8), (6, 9, 5, 8)}
 
 
 def jaccard(a, b):
@@ -88,7 +91,7 @@ def test_links_match_brute_force(spark, hot):
     name = {int(units(t)[0][0][0].astype(np.int64)): k for k, t in enumerate(texts)}
     grouped = S.members(found.select("unit", "bands"), [], hot)
     assert hot > 20 or grouped.where("salt > 0").count() > 9
-    seen = S.look_up(df, found.selectExpr("unit", "0 kind", "key", "start", "end"))
+    seen = S.look_up(df, found.selectExpr("unit", "0 kind", "key", "start", "start + length end"))
     sets = {name[r.unit]: len(r.s) for r in seen.collect()}
     assert sets == {k: len({tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)}) for k, t in enumerate(texts)}
     got = {tuple(sorted((name[r.node], name[r.root]))) for r in S.components(S.links(grouped, seen.select("unit", "s"))).collect()}

@@ -19,9 +19,12 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor can reach: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that every executor can reach: spark.checkpoint.dir. Where that is unset, a folder of our own for a
+    session in one process, as in tests; on a cluster executors could not read it, so there it is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="tidemark-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
@@ -101,7 +104,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         mark = new
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     out = now.select(u.alias("node"), v.alias("root")).unionByName(roots)
-    return out.select(F.col("node").cast(kind), F.col("root").cast(kind))
+    out = out.select(F.col("node").cast(kind), F.col("root").cast(kind))
+    out._tidemark_path = now._tidemark_path  # so that `forget` finds the table behind it
+    return out
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -105,14 +105,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out
 
 
-def _bands(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bands(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The identity of each text's words, whether it has a shingle, and the band keys of those that have."""
     split = [t.split() for t in texts]
     has = np.array([len(ws) >= SHINGLE for ws in split], bool)
-    names = substring_dedup.identities([" ".join(ws) for ws in split])
+    unit, check = substring_dedup.identities([" ".join(ws) for ws in split])
     shingles = [substring_dedup.shingle_hashes(h) for h in substring_dedup.word_hashes(split) if len(h) >= SHINGLE]
     if not shingles:
-        return names, has, np.zeros((0, BANDS), np.uint64)
+        return unit, check, has, np.zeros((0, BANDS), np.uint64)
     size = np.array([len(x) for x in shingles])
     x, begin = np.concatenate(shingles), np.cumsum(size) - size
     keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(size), axis=0)
@@ -124,7 +124,7 @@ def _bands(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         column ^= np.minimum.reduceat(v, begin)
         column *= substring_dedup._BASE
         column ^= column >> np.uint64(31)
-    return names, has, keys
+    return unit, check, has, keys
 
 
 def _whole_texts(rows: DataFrame) -> DataFrame:
@@ -134,14 +134,13 @@ def _whole_texts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                names, has, keys = _bands(part.column(2).to_pylist())
+                unit, check, has, keys = _bands(part.column(2).to_pylist())
                 ends = np.concatenate(([0], np.cumsum(has * BANDS)))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64).ravel()))
-                unit, check = (pa.array(np.ascontiguousarray(names[:, k]).view(np.int64)) for k in range(2))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), unit, check, lists], names=["id", "text_hash", "unit", "check", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(unit), pa.array(check), lists], names=["id", "text_hash", "unit", "check", "bands"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text_hash", "text").mapInArrow(run, f"id {kind}, text_hash long, unit long, check long, bands array<long>")
+    return rows.select("id", "text_hash", "text").mapInArrow(run, f"id {kind}, text_hash long, unit long, check int, bands array<long>")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
@@ -150,20 +149,21 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), ascii_lower(text).alias("text"))
     made: list[DataFrame] = []
     keep = substring_dedup.kept
-    found, repeated = substring_dedup.told_apart(written(_whole_texts(rows), "whole-texts"), "text_hash")
+    found = substring_dedup.told_apart(keep(made, _whole_texts(rows), "whole-texts"))
     one = keep(made, found.groupBy("unit").agg(F.min(F.struct(F.col("text_hash").alias("key"), "bands")).alias("p")).select("unit", "p.*"), "texts")
     grouped = substring_dedup.members(one.select("unit", "bands"), made)
     whole = [F.lit(x).cast(t).alias(n) for x, t, n in ((substring_dedup.SET, "int", "kind"), (0, "long", "start"), ((1 << 31) - 1, "long", "end"))]
     wanted = one.join(grouped.select("unit").distinct(), "unit", "left_semi").select("unit", "key", *whole)
     seen = keep(made, substring_dedup.look_up(rows.select(F.col("text_hash").alias("key"), "text"), wanted), "looked-up")
-    linked = keep(made, components(substring_dedup.links(grouped, seen.select("unit", "s"), similarity, made)), "linked")
+    made.append(near := substring_dedup.links(grouped, seen.select("unit", "s"), similarity))
+    made.append(linked := components(near))
     least = found.groupBy("unit").agg(F.min(F.struct("id", "text_hash")).alias("low"))
     named = least.join(linked.withColumnRenamed("node", "unit"), "unit", "left")
     by_root = named.groupBy(F.coalesce("root", "unit").alias("root")).agg(F.min("low").alias("low"))
     tag = uuid.uuid4().hex  # no column of a caller's has such a name
     mine, theirs, own = f"id{tag}", f"hash{tag}", f"text{tag}"
     stay = written(by_root.select(F.col("low.id").alias(mine), F.col("low.text_hash").alias(theirs)), "stay")
-    for df in (*made, found, repeated):
+    for df in made:
         forget(df)
     rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     kept = rows.join(stay, rows[id_col].eqNullSafe(stay[mine]) & (rows[own] == stay[theirs]), "left_semi")

@@ -8,8 +8,8 @@ Units of a text are
   run of WINDOW + BLOCK words that two texts share has such a place, and so a block, in common. They catch passages
   that stand inside longer paragraphs.
 
-Units are equal if 128 bits of a hash of their words' text are; the key `unit` is half of it, and units that agree in that
-half alone are told apart before anything else. Equal units are one class from the start, so copies cost no pairs. A
+Units are equal if 96 bits of a hash of their words are: the key `unit` is 64 of them, and units that agree in those
+alone are told apart before they are used. Equal units are one class from the start, so copies cost no pairs. A
 repeated block at the end of a run of blocks is compared, word by word, with the first document of its class beyond
 the block, so a span reaches as far as the two texts agree: up to WINDOW - 1 words on either side, the most that block
 selection leaves.
@@ -50,12 +50,15 @@ WINDOW, BLOCK = 20, 24
 #: Further paragraphs of a band with which all others of it are compared, before the exact search between clusters.
 PIVOTS = 4
 #: Members of a band that one task is meant to get at most.
-HOT = 20_000
+HOT = 5_000
+#: Classes of over HOT members that are broadcast at most; if there are more, adaptive execution splits their join.
+HOT_CLASSES = 1_000_000
 
 _RNG = np.random.default_rng(77)
 _TIMES = (_RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * 2 + 1).astype(np.uint32)
 _PLUS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_MIX = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
 def word_hashes(split: list[list[str]]) -> list[np.ndarray]:
@@ -77,13 +80,26 @@ def shingle_hashes(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * _BASE
 
 
-def identities(texts: list[str]) -> np.ndarray:
-    """Two 64-bit halves of a hash of each text."""
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), "<u8").reshape(-1, 2)
+def identities(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of a hash of each text."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), "<u8").reshape(-1, 2)
+    return both[:, 0].view(np.int64), (both[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def run_identities(h: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of a hash of the `size` words from each place on."""
+    a, b = np.full(len(at), _BASE, np.uint64), np.full(len(at), size, np.uint64)
+    for k in range(size):
+        w = h[at + k]
+        a = (a ^ w) * _MIX[0]
+        a ^= a >> np.uint64(29)
+        b = (b + w) * _MIX[1]
+        b ^= b >> np.uint64(32)
+    return (a * _MIX[1] ^ (a >> np.uint64(31))).view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def units(ws: list[str], h: np.ndarray, first: np.ndarray, last: np.ndarray, line: np.ndarray, least: int = MIN_WORDS) -> tuple[list[np.ndarray], np.ndarray]:
-    """[unit, check, start, end, is_paragraph] as columns, and the band keys of those that are paragraphs.
+    """[unit, check, start, length, is_paragraph] as columns, and the band keys of those that are paragraphs.
 
     For each word of a text: its string, its hash, where it starts and ends, and the number of its line.
     """
@@ -116,8 +132,9 @@ def units(ws: list[str], h: np.ndarray, first: np.ndarray, last: np.ndarray, lin
         at = at[at + BLOCK <= n]
     starts, stops = np.concatenate((begin, at)), np.concatenate((stop, at + BLOCK))
     para = np.concatenate((np.ones(len(begin), bool), np.zeros(len(at), bool)))
-    names = identities([" ".join(ws[a:b]) for a, b in zip(starts.tolist(), stops.tolist())])
-    return [names[:, 0], names[:, 1], first[starts], last[stops - 1], para], bands
+    names = identities([" ".join(ws[a:b]) for a, b in zip(begin.tolist(), stop.tolist())])
+    unit, check = (np.concatenate(x) for x in zip(names, run_identities(h, at, BLOCK)))
+    return [unit, check, first[starts], last[stops - 1] - first[starts], para], bands
 
 
 def _places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,7 +147,8 @@ def _places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """doc, key (of the row's id and text), unit, check, start, end, para, bands (empty for blocks)."""
+    """doc, key (of the row's id and text), unit, check, start, length, para, bands (empty for blocks)."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +162,7 @@ def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                     if len(ws) < SHINGLE:
                         continue
                     (*found, para), keys = units(ws, h, *_places(text), least)
-                    for column, x in zip(columns, (np.full(len(para), doc), np.full(len(para), key), *[f.view(np.int64) for f in found], para)):
+                    for column, x in zip(columns, (np.full(len(para), doc), np.full(len(para), key), *found, para)):
                         column.append(x)
                     bands.append(keys.view(np.int64).ravel())
                     sizes.append(para.astype(np.int64) * BANDS)
@@ -152,29 +170,39 @@ def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                     continue
                 size = np.concatenate(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(np.concatenate(bands)))
-                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(x)) for x in columns], lists], names=["doc", "key", "unit", "check", "start", "end", "para", "bands"])
-
-    return docs.mapInArrow(run, "doc long, key long, unit long, check long, start long, end long, para boolean, bands array<long>")
-
+                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(x)).cast(t) for x, t in zip(columns, kinds)], lists], names=["doc", "key", "unit", "check", "start", "length", "para", "bands"])
 
-def told_apart(found: DataFrame, doc: str = "doc") -> tuple[DataFrame, DataFrame]:
-    """`found`, in which `unit` alone now tells texts apart, and the units that stand in more than one row of it with the
-    least and largest `doc` as low and high; both are written tables."""
+    return docs.mapInArrow(run, "doc long, key long, unit long, check int, start int, length int, para boolean, bands array<long>")
 
-    def classes(rows: DataFrame) -> DataFrame:
-        sums = rows.groupBy("unit").agg(F.min(doc).alias("low"), F.max(doc).alias("high"), F.min("check").alias("c0"), F.max("check").alias("c1"), F.count("*").alias("n"))
-        return written(sums.where("n > 1").drop("n"), "classes")
 
-    repeated = classes(found)
-    mixed = repeated.where("c0 <> c1").select("unit")
+def told_apart(found: DataFrame) -> DataFrame:
+    """`found` without `check`: its `unit` alone now tells texts apart."""
+    sums = found.groupBy("unit").agg(F.min("check").alias("c0"), F.max("check").alias("c1"))
+    mixed = written(sums.where("c0 <> c1").select("unit"), "equal-keys")
     if mixed.head(1):
         named = found.join(mixed.withColumn("mixed", F.lit(True)), "unit", "left")
-        unit = F.when(F.col("mixed"), F.xxhash64("unit", "check")).otherwise(F.col("unit"))
-        again = written(named.select(unit.alias("unit"), *[c for c in found.columns if c != "unit"]), "units")
-        forget(found)
-        forget(repeated)
-        found, repeated = again, classes(again)
-    return found, repeated
+        found = named.withColumn("unit", F.when(F.col("mixed"), F.xxhash64("unit", "check")).otherwise(F.col("unit"))).drop("mixed")
+    else:
+        forget(mixed)
+    return found.drop("check")
+
+
+def repeated_blocks(blocks: DataFrame, made: list[DataFrame], hot: int = HOT) -> DataFrame:
+    """(doc, key, unit, check, start, end, first_doc_id) of the blocks that several documents have.
+
+    The occurrences of classes of over `hot` members meet their class by a broadcast, so no task gets all of one; the
+    others meet by a shuffle.
+    """
+    sums = blocks.groupBy("unit", "check").agg(F.min("doc").alias("first_doc_id"), F.max("doc").alias("high"), F.count("*").alias("n"))
+    shared = kept(made, sums.where(F.col("first_doc_id") < F.col("high")).drop("high"), "shared")
+    name, ends = ["unit", "check"], (F.col("start") + F.col("length")).alias("end")
+    columns = ["doc", "key", *name, "start", ends, "first_doc_id"]
+    large = shared.where(F.col("n") > hot).select(*name, "first_doc_id")
+    many = large.limit(HOT_CLASSES + 1).count()
+    if not 0 < many <= HOT_CLASSES:
+        return blocks.join(shared, name).select(columns)
+    ones = blocks.join(F.broadcast(large.select(name)), name, "left_anti").join(shared.where(F.col("n") <= hot), name)
+    return blocks.join(F.broadcast(large), name).select(columns).unionByName(ones.select(columns))
 
 
 _LOOKED_UP = "unit long, kind int, key long, at long, s array<long>, places array<long>"
@@ -286,53 +314,52 @@ def _across(open_units: DataFrame, sets: DataFrame, similarity: float, made: lis
 
 
 def members(paragraphs: DataFrame, made: list[DataFrame], hot: int = HOT) -> DataFrame:
-    """(band, salt, a, b, unit): the units (of `unit`, `bands`, each once) that share a band with others.
+    """(band, salt, unit): the units (of `unit`, `bands`, each once) that share a band with others.
 
-    `b` is the band's first unit and `a` the first one of the salt. A unit's salt is drawn among as many as the band's size calls
-    for, so a band that a third of all units have is as many groups as it needs. To learn that size, rows are first
-    summed within as many salts as all rows might need.
+    A unit's salt is drawn among as many as the band's size calls for, so a band that a third of all units have is as
+    many groups as it needs. To learn that size, rows are first summed within as many salts as all rows might need.
     """
-    rows = paragraphs.select("unit", F.explode("bands").alias("band"))
     most = max(1, -(-paragraphs.count() // hot))
-    salt = F.pmod(F.xxhash64("unit", F.lit(7)), F.lit(most)).cast("int")
-    rows = rows.withColumn("part", salt)
-    parts = rows.groupBy("band", "part").agg(F.min("unit").alias("low"), F.count("*").alias("n"))
-    bands = parts.groupBy("band").agg(F.min("low").alias("b"), F.sum("n").alias("n")).where("n > 1")
-    sizes = parts.select("band", "part").join(bands, "band")
-    salts = F.ceil(F.col("n") / hot).cast("int")
-    own = rows.join(sizes, ["band", "part"]).select("band", F.pmod(F.xxhash64("unit", F.lit(9)), salts).cast("int").alias("salt"), "b", "unit")
-    own = kept(made, own, "members")
-    firsts = own.groupBy("band", "salt").agg(F.min("unit").alias("a"))
-    return kept(made, own.join(firsts, ["band", "salt"]).select("band", "salt", "a", "b", "unit"), "salted-members")
-
-
-def links(grouped: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, made: list[DataFrame] | None = None) -> DataFrame:
-    """(a, b): verified links that connect whatever units share a band and are similar; `sets` has their shingles.
-
-    `made` collects the tables written on the way, which the caller may delete when it has the links.
-    """
-    made = [] if made is None else made
-    first = grouped.select("a", F.col("unit").alias("b")).unionByName(grouped.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = kept(made, _verified(first.where("a <> b").distinct(), sets, similarity), "near")
-    grouped = grouped.select("band", "salt", "unit")
+    rows = paragraphs.select("unit", F.explode("bands").alias("band")).withColumn("part", F.pmod(F.xxhash64("unit", F.lit(7)), F.lit(most)).cast("int"))
+    parts = rows.groupBy("band", "part").agg(F.count("*").alias("n"))
+    sizes = parts.select("band", "part").join(parts.groupBy("band").agg(F.sum("n").alias("n")).where("n > 1"), "band")
+    salt = F.pmod(F.xxhash64("unit", F.lit(9)), F.ceil(F.col("n") / hot)).cast("int")
+    return kept(made, rows.join(sizes, ["band", "part"]).select("band", salt.alias("salt"), "unit"), "members")
+
+
+def links(grouped: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): verified links that connect whatever units share a band and are similar; `sets` has their shingles. A written table."""
+    made: list[DataFrame] = []
+    firsts = grouped.groupBy("band", "salt").agg(F.min("unit").alias("a"))
+    inside = grouped.join(firsts, ["band", "salt"]).select("a", F.col("unit").alias("b"))
+    across = firsts.join(firsts.groupBy("band").agg(F.min("a").alias("b")), "band").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    near = kept(made, _verified(inside.unionByName(across).where("a <> b").distinct(), sets, similarity), "near")
     open_units = _open(grouped, near, made)
     # a few more pivots join most of what the first left apart, as many comparisons as members each
     picks = [F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "cluster")).alias(f"p{k}") for k in range(PIVOTS)]
     pivots = open_units.groupBy("band", "salt").agg(*picks).select("band", "salt", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
     pairs = open_units.join(pivots, ["band", "salt"]).where("cluster <> p.cluster").select(F.least("unit", "p.unit").alias("a"), F.greatest("unit", "p.unit").alias("b")).distinct()
-    near = kept(made, near.unionByName(_verified(pairs, sets, similarity)).distinct(), "near")
-    apart = kept(made, _open(grouped, near, made).select("unit", "cluster").distinct(), "apart")
-    return near.unionByName(_verified(_across(apart, sets, similarity, made), sets, similarity)).distinct()
+    more = kept(made, near.unionByName(_verified(pairs, sets, similarity)).distinct(), "near")
+    forget(open_units)
+    apart = kept(made, _open(grouped, more, made).select("unit", "cluster").distinct(), "apart")
+    out = written(more.unionByName(_verified(_across(apart, sets, similarity, made), sets, similarity)).distinct(), "links")
+    for df in made:
+        forget(df)
+    return out
 
 
 def _open(grouped: DataFrame, near: DataFrame, made: list[DataFrame]) -> DataFrame:
     """(band, salt, unit, cluster) of the bands whose units the links `near` leave in several clusters."""
-    clusters = kept(made, components(near), "clusters")
+    clusters = components(near)
     named = grouped.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select("band", "salt", "unit", F.coalesce("root", "unit").alias("cluster"))
+    named = written(named, "named-members")
+    forget(clusters)
     ends = named.groupBy("band", "salt").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
     mixed = ends.groupBy("band").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("band")
     groups = ends.select("band", "salt").join(mixed, "band")
-    return kept(made, named.join(groups, ["band", "salt"], "left_semi"), "open")
+    out = kept(made, named.join(groups, ["band", "salt"], "left_semi"), "open")
+    forget(named)
+    return out
 
 
 def _edges(blocks: DataFrame) -> DataFrame:
@@ -369,12 +396,13 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
     made: list[DataFrame] = []
-    found, repeated = told_apart(written(_all_units(rows, max(SHINGLE, min_words)), "units"))
-    shared = repeated.where("low < high").select("unit", F.col("low").alias("first_doc_id"))
-    blocks = kept(made, found.where(~F.col("para")).select("doc", "key", "unit", "start", "end").join(shared, "unit").distinct(), "blocks")
+    found = written(_all_units(rows, max(SHINGLE, min_words)), "units")
+    blocks = told_apart(kept(made, repeated_blocks(found.where(~F.col("para")), made).distinct(), "named-blocks"))
+    ends = (F.col("start") + F.col("length")).alias("end")
+    paragraphs = kept(made, told_apart(found.where("para").select("doc", "key", "unit", "check", "start", ends, "bands")), "paragraphs")
+    forget(found)
     edges = kept(made, _edges(blocks), "edges")
-    paragraphs = found.where("para")
-    one = kept(made, paragraphs.groupBy("unit").agg(F.min(F.struct("key", "start", "end", "bands")).alias("p")).select("unit", "p.*"), "paragraphs")
+    one = kept(made, paragraphs.groupBy("unit").agg(F.min(F.struct("key", "start", "end", "bands")).alias("p")).select("unit", "p.*"), "one-each")
     grouped = members(one.select("unit", "bands"), made)
     sides = edges.select("unit", "kind").distinct()
     firsts = blocks.where("doc = first_doc_id").join(sides, "unit").groupBy("unit", "kind").agg(F.min(F.struct("key", "start", "end")).alias("p"))
@@ -382,9 +410,12 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = one.join(grouped.select("unit").distinct(), "unit", "left_semi").withColumn("kind", F.lit(SET))
     wanted = edges.select(columns).unionByName(firsts.select("unit", (F.col("kind") + 2).alias("kind"), "p.*")).unionByName(sets.select(columns))
     seen = kept(made, look_up(rows, wanted), "looked-up")
-    linked = kept(made, components(links(grouped, seen.where(F.col("kind") == SET).select("unit", "s"), similarity, made)), "linked")
+    near = links(grouped, seen.where(F.col("kind") == SET).select("unit", "s"), similarity)
+    linked = components(near)
+    forget(near)
 
     sizes = paragraphs.groupBy("unit").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    made.append(linked)
     named = kept(made, sizes.join(linked.withColumnRenamed("node", "unit"), "unit", "left").select("unit", "low", "high", F.coalesce("root", "unit").alias("cluster")), "named")
     joined = named.groupBy("cluster").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("high")).where(F.col("first_doc_id") < F.col("high"))
     near = named.join(joined.select("cluster", "first_doc_id"), "cluster").select("unit", "first_doc_id")
@@ -398,7 +429,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = marked.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     out = marked.groupBy("doc", "removed", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id"))
     out = written(out.select(F.col("doc").alias(id_col), "start", "end", "removed", "first_doc_id"), "spans")
-    for df in (*made, found, repeated):
+    for df in made:
         forget(df)
     return out
 
