@@ -22,8 +22,33 @@ def spans(spark, rows):
 
 
 def units(text):
-    split = [text.split()]
-    return S.units(split[0], S.word_hashes(split)[0], *S._places(text))
+    return S.units(S.words_of([text]))[1:]
+
+
+def hashes(words):
+    return S.words_of([" ".join(words)]).h
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_texts_together_have_the_units_that_each_has_by_itself(seed):
+    rng = random.Random(seed)
+    white = [" ", "  ", "\n", "\u2003", "\t", "\n\n"]
+    texts = ["".join(f"w{rng.randrange(60)}É"[: rng.randrange(1, 5)] + rng.choice(white) for _ in range(rng.randrange(rng.choice([4, 30, 300])))) for _ in range(40)] + ["", " \n", "a"]
+    words = S.words_of(texts)
+    for k, t in enumerate(texts):
+        own = slice(words.cuts[k], words.cuts[k + 1])
+        assert [t[a:b] for a, b in zip(words.first[own], words.last[own])] == t.split()
+    known = {}
+    for w, h in zip(" ".join(texts).split(), words.h.tolist()):
+        assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known)
+    owner, columns, bands = S.units(words, 12)
+    para = columns[-1]
+    for k, t in enumerate(texts):
+        _, alone, keys = S.units(S.words_of([t]), 12)
+        assert all((x[owner == k] == y).all() and (owner == k).sum() == len(y) for x, y in zip(columns, alone))
+        assert (bands[owner[para] == k] == keys).all()
+    assert list(S.parts(["ab"] * 5 + ["x" * 50] + ["c"], 8)) == [(0, 3), (3, 5), (5, 6), (6, 7)]
 
 
 @pytest.mark.parametrize("seed", range(40))
@@ -50,7 +75,7 @@ def test_words_of_unusual_length_and_order_have_other_hashes():
     b = [w[64:128] + w[:64] + w[128:] for w in a]
     (u, c, *_), _ = units(" ".join(a))
     (v, d, *_), _ = units(" ".join(b))
-    assert len(u) > 1 and not set(zip(u, c)) & set(zip(v, d)) and not set(S.word_hashes([a])[0]) & set(S.word_hashes([b])[0])
+    assert len(u) > 1 and not set(zip(u, c)) & set(zip(v, d)) and not set(hashes(a)) & set(hashes(b))
     thue = ["a"]
     for _ in range(12):
         thue += ["b" if w == "a" else "a" for w in thue]

@@ -107,21 +107,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _bands(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The identity of each text's words, whether it has a shingle, and the band keys of those that have."""
-    split = [t.split() for t in texts]
-    has = np.array([len(ws) >= SHINGLE for ws in split], bool)
-    unit, check = substring_dedup.identities([" ".join(ws) for ws in split])
-    shingles = [substring_dedup.shingle_hashes(h) for h in substring_dedup.word_hashes(split) if len(h) >= SHINGLE]
+    words = substring_dedup.words_of(texts)
+    begin, stop = words.cuts[:-1], words.cuts[1:]
+    unit, check = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int32)
+    some = stop > begin
+    unit[some], check[some] = substring_dedup.identities(words.h, begin[some], stop[some])
+    has = stop - begin >= SHINGLE
+    shingles = [substring_dedup.shingle_hashes(words.h[a:b]) for a, b in zip(begin[has].tolist(), stop[has].tolist())]
     if not shingles:
         return unit, check, has, np.zeros((0, BANDS), np.uint64)
     size = np.array([len(x) for x in shingles])
-    x, begin = np.concatenate(shingles), np.cumsum(size) - size
+    x, at = np.concatenate(shingles), np.cumsum(size) - size
     keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(size), axis=0)
     for k in range(BANDS * ROWS):
         v = x * _TIMES[k]
         v ^= v >> np.uint64(32)
         v *= _TIMES[k]
         column = keys[:, k // ROWS]
-        column ^= np.minimum.reduceat(v, begin)
+        column ^= np.minimum.reduceat(v, at)
         column *= substring_dedup._BASE
         column ^= column >> np.uint64(31)
     return unit, check, has, keys
@@ -132,9 +135,10 @@ def _whole_texts(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                unit, check, has, keys = _bands(part.column(2).to_pylist())
+            texts = batch.column(2).to_pylist()
+            for a, b in substring_dedup.parts(texts):
+                part = batch.slice(a, b - a)
+                unit, check, has, keys = _bands(texts[a:b])
                 ends = np.concatenate(([0], np.cumsum(has * BANDS)))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(unit), pa.array(check), lists], names=["id", "text_hash", "unit", "check", "bands"])

@@ -31,10 +31,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,12 +61,56 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-def word_hashes(split: list[list[str]]) -> list[np.ndarray]:
-    """The 64-bit hash of each word of each text; a word that several texts have is hashed once."""
-    size = [len(ws) for ws in split]
-    found = pa.array([w for ws in split for w in ws], pa.string()).dictionary_encode()
-    known = np.fromiter(map(xxhash.xxh64_intdigest, found.dictionary.to_pylist()), np.uint64, len(found.dictionary))
-    return np.split(known[found.indices.to_numpy(zero_copy_only=False)], np.cumsum(size)[:-1])
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of a number over all of its 64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@dataclass
+class Words:
+    """The words of several texts, as white space parts them, one after another."""
+
+    #: Hash, start and end in its text, number of its line (no two texts share one), for each word.
+    h: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    line: np.ndarray
+    #: Where each text's words begin, and their end.
+    cuts: np.ndarray
+
+
+def words_of(texts: list[str]) -> Words:
+    """A word's hash sums one number for each character and its place, each drawn by mixing both."""
+    c = ngrams.codes("\n".join([*texts, ""]))
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    begin = np.cumsum(size) - size
+    gap = ngrams.spaces()[c]
+    start = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
+    stop = np.flatnonzero(~gap & np.concatenate((gap[1:], [True]))) + 1
+    cuts = np.searchsorted(start, np.concatenate((begin, [len(c)])))
+    if not len(start):
+        none = np.zeros(0, np.int64)
+        return Words(none.view(np.uint64), none, none, none, cuts)
+    length = stop - start
+    inside = np.flatnonzero(~gap)
+    place = (inside - np.repeat(start, length)).astype(np.uint64)
+    h = np.add.reduceat(_mixed(c[inside] + (place + np.uint64(1)) * _BASE), np.cumsum(length) - length)
+    offset = np.repeat(begin, np.diff(cuts))
+    return Words(_mixed(h + length.astype(np.uint64)), start - offset, stop - offset, np.cumsum(c == 10)[start], cuts)
+
+
+def parts(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of texts (from, to) of about `most` characters together; a longer text is a run of its own."""
+    begin = size = 0
+    for k, t in enumerate(texts):
+        if size and size + len(t) > most:
+            yield begin, k
+            begin, size = k, 0
+        size += len(t) + 1
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def shingle_hashes(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -80,10 +124,17 @@ def shingle_hashes(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * _BASE
 
 
-def identities(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64 and 32 bits of a hash of each text."""
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), "<u8").reshape(-1, 2)
-    return both[:, 0].view(np.int64), (both[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def identities(h: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of a hash of the words from each `begin` to its `stop`; these runs don't overlap and are in order."""
+    size = stop - begin
+    if not len(begin):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    place = (at - np.repeat(begin, size)).astype(np.uint64)
+    w, cuts = h[at], np.cumsum(size) - size
+    a = np.add.reduceat(_mixed(w + (place + np.uint64(1)) * _MIX[0]), cuts) + size.astype(np.uint64)
+    b = np.add.reduceat(_mixed((w ^ _MIX[0]) * _MIX[1] + (place + np.uint64(1)) * _BASE), cuts)
+    return _mixed(a).view(np.int64), (_mixed(b) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def run_identities(h: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,52 +149,47 @@ def run_identities(h: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray
     return (a * _MIX[1] ^ (a >> np.uint64(31))).view(np.int64), (b >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def units(ws: list[str], h: np.ndarray, first: np.ndarray, last: np.ndarray, line: np.ndarray, least: int = MIN_WORDS) -> tuple[list[np.ndarray], np.ndarray]:
-    """[unit, check, start, length, is_paragraph] as columns, and the band keys of those that are paragraphs.
-
-    For each word of a text: its string, its hash, where it starts and ends, and the number of its line.
-    """
-    n = len(ws)
-    if n < SHINGLE:
-        return [np.zeros(0, np.int64)] * 5, np.zeros((0, BANDS), np.uint64)
-    if n < least:
-        line, least = np.zeros(n, np.int64), n
-    shingles = shingle_hashes(h)
+def units(ws: Words, least: int = MIN_WORDS) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The text of each unit; [unit, check, start, length, is_paragraph] as columns; and the band keys of those that are paragraphs."""
+    n = np.diff(ws.cuts)
+    owner = np.repeat(np.arange(len(n)), n)
+    total = len(owner)
+    none = np.zeros(0, np.int64)
+    if total < SHINGLE:
+        return none, [none, none.astype(np.int32), none, none, none.astype(bool)], np.zeros((0, BANDS), np.uint64)
+    end = ws.cuts[1:][owner]
+    short = (n < least)[owner]
+    # a short text is one line
+    line = np.where(short, ws.line[ws.cuts[:-1][owner]], ws.line)
     begin = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
-    stop = np.concatenate((begin[1:], [n]))
-    long = stop - begin >= least
+    stop = np.concatenate((begin[1:], [total]))
+    size = stop - begin
+    long = (size >= least) | short[begin] & (size >= SHINGLE)
+    shingles = shingle_hashes(ws.h)
     bands = np.zeros((int(long.sum()), BANDS), np.uint64)
     if long.any():
-        outside = np.flatnonzero(np.concatenate((line[: n - SHINGLE + 1] != line[SHINGLE - 1 :], np.ones(SHINGLE - 1, bool))))
+        outside = np.flatnonzero(np.concatenate((line[: total - SHINGLE + 1] != line[SHINGLE - 1 :], np.ones(SHINGLE - 1, bool))))
         base = np.concatenate(((shingles >> np.uint64(32)).astype(np.uint32), np.zeros(SHINGLE - 1, np.uint32)))
-        v = (base[None, :] * _TIMES[:, None]) ^ _PLUS[:, None]
-        v[:, outside] = 0xFFFFFFFF
-        least_of = np.minimum.reduceat(v, begin, axis=1)[:, long].reshape(BANDS, ROWS, -1).astype(np.uint64)
-        key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], least_of.shape[2], axis=1)
-        for k in range(ROWS):
-            key = (key ^ least_of[:, k]) * _BASE
-            key ^= key >> np.uint64(31)
-        bands = np.ascontiguousarray(key.T)
+        key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(bands), axis=0)
+        for k in range(BANDS * ROWS):
+            v = (base * _TIMES[k]) ^ _PLUS[k]
+            v[outside] = 0xFFFFFFFF
+            column = key[:, k // ROWS]
+            column ^= np.minimum.reduceat(v, begin)[long]
+            column *= _BASE
+            column ^= column >> np.uint64(31)
+        bands = key
     begin, stop = begin[long], stop[long]
-    at = np.zeros(0, np.int64)
-    if n >= BLOCK:
-        width = min(WINDOW, len(shingles))
-        at = np.unique(np.lib.stride_tricks.sliding_window_view(shingles, width).argmin(axis=1) + np.arange(len(shingles) - width + 1))
-        at = at[at + BLOCK <= n]
+    at = none
+    if len(shingles) >= WINDOW:
+        least_at = np.lib.stride_tricks.sliding_window_view(shingles, WINDOW).argmin(axis=1) + np.arange(len(shingles) - WINDOW + 1)
+        whole = end[: len(least_at)] - np.arange(len(least_at)) >= WINDOW + SHINGLE - 1  # windows inside one text
+        at = np.unique(least_at[whole])
+        at = at[at + BLOCK <= end[at]]
     starts, stops = np.concatenate((begin, at)), np.concatenate((stop, at + BLOCK))
     para = np.concatenate((np.ones(len(begin), bool), np.zeros(len(at), bool)))
-    names = identities([" ".join(ws[a:b]) for a, b in zip(begin.tolist(), stop.tolist())])
-    unit, check = (np.concatenate(x) for x in zip(names, run_identities(h, at, BLOCK)))
-    return [unit, check, first[starts], last[stops - 1] - first[starts], para], bands
-
-
-def _places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each word, as split() gives them, starts and ends, and the number of its line."""
-    c = ngrams.codes(text)
-    gap = ngrams.spaces()[c]
-    first = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
-    last = np.flatnonzero(~gap & np.concatenate((gap[1:], [True]))) + 1
-    return first, last, np.cumsum(c == 10)[first]
+    unit, check = (np.concatenate(x) for x in zip(identities(ws.h, begin, stop), run_identities(ws.h, at, BLOCK)))
+    return owner[starts], [unit, check, ws.first[starts], ws.last[stops - 1] - ws.first[starts], para], bands
 
 
 def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -152,25 +198,16 @@ def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                columns: list[list[np.ndarray]] = [[] for _ in range(7)]
-                bands, sizes = [], []
-                texts = part.column(2).to_pylist()
-                split = [t.split() for t in texts]
-                for doc, key, text, ws, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, split, word_hashes(split)):
-                    if len(ws) < SHINGLE:
-                        continue
-                    (*found, para), keys = units(ws, h, *_places(text), least)
-                    for column, x in zip(columns, (np.full(len(para), doc), np.full(len(para), key), *found, para)):
-                        column.append(x)
-                    bands.append(keys.view(np.int64).ravel())
-                    sizes.append(para.astype(np.int64) * BANDS)
-                if not bands:
+            docs, keys = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            texts = batch.column(2).to_pylist()
+            for a, b in parts(texts):
+                owner, columns, bands = units(words_of(texts[a:b]), least)
+                if not len(owner):
                     continue
-                size = np.concatenate(sizes)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(np.concatenate(bands)))
-                yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(x)).cast(t) for x, t in zip(columns, kinds)], lists], names=["doc", "key", "unit", "check", "start", "length", "para", "bands"])
+                ends = np.concatenate(([0], np.cumsum(columns[-1].astype(np.int64) * BANDS)))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands.view(np.int64).ravel()))
+                arrays = [pa.array(x).cast(t) for x, t in zip((docs[a:b][owner], keys[a:b][owner], *columns), kinds)]
+                yield pa.RecordBatch.from_arrays([*arrays, lists], names=["doc", "key", "unit", "check", "start", "length", "para", "bands"])
 
     return docs.mapInArrow(run, "doc long, key long, unit long, check int, start int, length int, para boolean, bands array<long>")
 
@@ -221,28 +258,28 @@ def look_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                texts = part.column(1).to_pylist()
-                split = [t.split() for t in texts]
-                asked = part.column(2).combine_chunks() if isinstance(part.column(2), pa.ChunkedArray) else part.column(2)
-                ends = np.concatenate(([0], np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))))
-                flat = asked.flatten()
-                unit, kind, start, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            every = batch.column(2)
+            ends = np.concatenate(([0], np.cumsum(every.value_lengths().to_numpy(zero_copy_only=False))))
+            flat = every.flatten()
+            unit, kind, start, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            for a, b in parts(texts):
+                words = words_of(texts[a:b])
                 out: list[list] = [[], [], [], [], [], []]
-                for k, (key, text, h) in enumerate(zip(part.column(0).to_pylist(), texts, word_hashes(split))):
-                    first, last, _ = _places(text)
+                for k in range(a, b):
+                    own = slice(words.cuts[k - a], words.cuts[k - a + 1])
+                    h, first, last = words.h[own], words.first[own], words.last[own]
                     mine = slice(ends[k], ends[k + 1])
                     low, high = np.searchsorted(first, start[mine]).tolist(), np.searchsorted(last, end[mine], side="right").tolist()
-                    for u, what, a, b, i, j in zip(unit[mine].tolist(), kind[mine].tolist(), start[mine].tolist(), end[mine].tolist(), low, high):
+                    for u, what, at, to, i, j in zip(unit[mine].tolist(), kind[mine].tolist(), start[mine].tolist(), end[mine].tolist(), low, high):
                         if what == SET:
                             found = np.unique(shingle_hashes(h[i:j], min(SHINGLE, max(1, j - i))))
-                            place, there = a, found[:0]
+                            place, there = at, found[:0]
                         elif what in (LEFT, FIRST_LEFT):
-                            found, place, there = h[max(0, i - WINDOW + 1) : i][::-1], a, first[max(0, i - WINDOW + 1) : i][::-1]
+                            found, place, there = h[max(0, i - WINDOW + 1) : i][::-1], at, first[max(0, i - WINDOW + 1) : i][::-1]
                         else:
-                            found, place, there = h[j : j + WINDOW - 1], b, last[j : j + WINDOW - 1]
-                        for column, x in zip(out, (u, what, key, place, found.view(np.int64), there.view(np.int64))):
+                            found, place, there = h[j : j + WINDOW - 1], to, last[j : j + WINDOW - 1]
+                        for column, x in zip(out, (u, what, keys[k], place, found.view(np.int64), there.view(np.int64))):
                             column.append(x)
                 if out[0]:
                     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
