@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import decoders, scalar
-from tidemark.functions.base58 import base58, from_base58
+from tidemark.functions.base58 import from_base58
 from tidemark.operators import balances, token_info
 from tidemark.operators.reports import table_gaps
 from tidemark.plans import ingest, schemas
