@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -48,7 +49,8 @@ def test_texts_together_have_the_units_that_each_has_by_itself(seed):
         _, alone, keys = S.units(S.words_of([t]), 12)
         assert all((x[owner == k] == y).all() and (owner == k).sum() == len(y) for x, y in zip(columns, alone))
         assert (bands[owner[para] == k] == keys).all()
-    assert list(S.parts(["ab"] * 5 + ["x" * 50] + ["c"], 8)) == [(0, 3), (3, 5), (5, 6), (6, 7)]
+    pieces = list(S.parts(pa.array(["ab"] * 5 + ["x" * 50] + ["c"]), 8))
+    assert [(a, len(t)) for a, t in pieces] == [(0, 3), (3, 2), (5, 1), (6, 1)] and pieces[2][1] == ["x" * 50] and not list(S.parts(pa.array([], pa.string())))
 
 
 @pytest.mark.parametrize("seed", range(40))

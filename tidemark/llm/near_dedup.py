@@ -135,10 +135,9 @@ def _whole_texts(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in substring_dedup.parts(texts):
-                part = batch.slice(a, b - a)
-                unit, check, has, keys = _bands(texts[a:b])
+            for a, texts in substring_dedup.parts(batch.column(2)):
+                part = batch.slice(a, len(texts))
+                unit, check, has, keys = _bands(texts)
                 ends = np.concatenate(([0], np.cumsum(has * BANDS)))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(unit), pa.array(check), lists], names=["id", "text_hash", "unit", "check", "bands"])

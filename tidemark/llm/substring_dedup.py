@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,16 +102,20 @@ def words_of(texts: list[str]) -> Words:
     return Words(_mixed(h + length.astype(np.uint64)), start - offset, stop - offset, np.cumsum(c == 10)[start], cuts)
 
 
-def parts(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Runs of texts (from, to) of about `most` characters together; a longer text is a run of its own."""
+#: Bytes of text that are taken apart at a time; arrays over its characters need about a hundred times as many.
+PART = 1 << 18
+
+
+def parts(texts: pa.Array, most: int = PART) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of about `most` bytes together, each with where it begins; a longer text is a run of its own."""
     begin = size = 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield begin, k
+    for k, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if size and size + n > most:
+            yield begin, texts.slice(begin, k - begin).to_pylist()
             begin, size = k, 0
-        size += len(t) + 1
+        size += n + 1
     if begin < len(texts):
-        yield begin, len(texts)
+        yield begin, texts.slice(begin).to_pylist()
 
 
 def shingle_hashes(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -199,11 +204,11 @@ def _all_units(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, keys = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
-            texts = batch.column(2).to_pylist()
-            for a, b in parts(texts):
-                owner, columns, bands = units(words_of(texts[a:b]), least)
+            for a, texts in parts(batch.column(2)):
+                owner, columns, bands = units(words_of(texts), least)
                 if not len(owner):
                     continue
+                b = a + len(texts)
                 ends = np.concatenate(([0], np.cumsum(columns[-1].astype(np.int64) * BANDS)))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands.view(np.int64).ravel()))
                 arrays = [pa.array(x).cast(t) for x, t in zip((docs[a:b][owner], keys[a:b][owner], *columns), kinds)]
@@ -258,15 +263,14 @@ def look_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            every = batch.column(2)
+            keys, every = batch.column(0).to_pylist(), batch.column(2)
             ends = np.concatenate(([0], np.cumsum(every.value_lengths().to_numpy(zero_copy_only=False))))
             flat = every.flatten()
             unit, kind, start, end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-            for a, b in parts(texts):
-                words = words_of(texts[a:b])
+            for a, texts in parts(batch.column(1)):
+                words = words_of(texts)
                 out: list[list] = [[], [], [], [], [], []]
-                for k in range(a, b):
+                for k in range(a, a + len(texts)):
                     own = slice(words.cuts[k - a], words.cuts[k - a + 1])
                     h, first, last = words.h[own], words.first[own], words.last[own]
                     mine = slice(ends[k], ends[k + 1])
