@@ -47,12 +47,26 @@ def minus_saturating(a: Column, b: Column | int) -> Column:
     return F.greatest(a - b, F.lit(0))
 
 
-def readable_size(n: Column) -> Column:
-    """Bytes as text: two decimals and a unit of 1024s."""
-    out = F.format_string("%.2f %s", n.cast("double") / float(1024 ** (len(SIZE_UNITS) - 1)), F.lit(SIZE_UNITS[-1]))
-    for k in range(len(SIZE_UNITS) - 2, -1, -1):
-        out = F.when(n < 1024 ** (k + 1), F.format_string("%.2f %s", n.cast("double") / float(1024**k), F.lit(SIZE_UNITS[k]))).otherwise(out)
-    return out
+def readable_size(n: Column, largest: str = SIZE_UNITS[-1]) -> Column:
+    """Bytes (a long) as text: two decimals and a unit of 1024s, `largest` at most. Rounded exactly, ties to even, as C's printf does;
+    Java's rounds the shortest decimal form of a double, ties up."""
+    names = SIZE_UNITS[: SIZE_UNITS.index(largest) + 1]
+    out = F.concat_ws(" ", _hundredths(n, 1024 ** (len(names) - 1)), F.lit(names[-1]))
+    for k in range(len(names) - 2, -1, -1):
+        out = F.when(n < 1024 ** (k + 1), F.concat_ws(" ", _hundredths(n, 1024**k), F.lit(names[k]))).otherwise(out)
+    return F.when(n.isNotNull(), out)
+
+
+def _hundredths(n: Column, unit: int) -> Column:
+    """n / unit with two decimals, by whole numbers."""
+    of, div = F.lit(unit).cast("decimal(20,0)"), lambda a, b: F.call_function("div", a, b)
+    n = n.cast("decimal(20,0)")
+    scaled = (n % of) * 100
+    down, twice = div(scaled, of), (scaled % of) * 2
+    odd = F.pmod(down, F.lit(2)) == 1
+    up = F.when((twice > of) | (twice == of) & odd, 1).otherwise(0)
+    total = div(n, of) * 100 + down + up
+    return F.when(F.lit(unit) == 1, F.concat(n.cast("string"), F.lit(".00"))).otherwise(F.concat(div(total, F.lit(100)).cast("string"), F.lit("."), F.lpad((total % 100).cast("string"), 2, "0")))
 
 
 def state_label(state: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import readable_size
+from tidemark.functions.scalar import SIZE_UNITS, readable_size
 
 
 def counters(rules: dict[str, Column]) -> list[Column]:
@@ -13,10 +13,10 @@ def counters(rules: dict[str, Column]) -> list[Column]:
     return [F.count_if(rule).alias(name) for name, rule in rules.items()]
 
 
-def parts_report(parts: DataFrame) -> DataFrame:
-    """(partition, parts_count, rows, size) of (partition, rows, bytes), the most parts first."""
+def parts_report(parts: DataFrame, largest: str = SIZE_UNITS[-1]) -> DataFrame:
+    """(partition, parts_count, rows, size) of (partition, rows, bytes), the most parts first; sizes are in units up to `largest`."""
     sums = parts.groupBy("partition").agg(F.count("*").alias("parts_count"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
-    return sums.select("partition", "parts_count", "rows", readable_size(F.col("bytes")).alias("size")).orderBy(F.desc("parts_count"), "partition")
+    return sums.select("partition", "parts_count", "rows", readable_size(F.col("bytes"), largest).alias("size")).orderBy(F.desc("parts_count"), "partition")
 
 
 def total_parts(report: DataFrame) -> DataFrame:
