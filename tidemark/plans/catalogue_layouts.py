@@ -206,7 +206,7 @@ def _records_of(rows: DataFrame, slot: Column, file_id: Column, offset: Column,
         slot.cast("long").alias("slot"), file_id.cast("long").alias("file_id"), offset.cast("long").alias("offset"), pubkey.alias("pubkey"), F.lit(1).cast("decimal(20,0)").alias("lamports"),
         F.lit(0).cast("decimal(20,0)").alias("rent_epoch"), owner.alias("owner"), F.lit(False).alias("executable"), raw(ZERO_KEY).alias("hash"), data.alias("data"),
     )
-    return records.decode(records.encode(rows))
+    return records.through_files(rows)
 
 
 @query(

@@ -13,6 +13,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _HEAD = struct.Struct("<QQ32s")
@@ -21,6 +22,8 @@ _HASH = 32
 MAX_FILE = 16 << 30
 #: Records that make a batch on the way to Spark, and bytes of their data after which it is cut earlier.
 BATCH_ROWS, BATCH_BYTES = 4096, 32 << 20
+#: Bytes after which a piece of a storage file ends, at its record's end; records of a file that one task takes, about.
+PIECE_BYTES, PART_ROWS = 4 << 20, 100_000
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -41,6 +44,7 @@ _U64 = pa.decimal128(20, 0)
 _ARROW = pa.schema(
     [("slot", pa.int64()), ("file_id", pa.int64()), ("offset", pa.int64()), ("pubkey", pa.binary()), ("lamports", _U64), ("rent_epoch", _U64), ("owner", pa.binary()), ("executable", pa.bool_()), ("hash", pa.binary()), ("data_len", pa.int64()), ("data", pa.binary())]
 )
+_PIECE = pa.schema([("slot", pa.int64()), ("file_id", pa.int64()), ("start", pa.int64()), ("valid_len", pa.int64()), ("content", pa.binary())])
 
 
 def _up8(n: int) -> int:
@@ -128,16 +132,18 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def decode(blobs: DataFrame) -> DataFrame:
-    """Records of (slot, file_id, valid_len, content) rows; a null valid_len takes the whole content."""
+    """Records of (slot, file_id, valid_len, content) rows; a null valid_len takes the whole content. Pieces of files have
+    a column `start` too, where in the file they begin."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for slot, file_id, valid, content in zip(*(part.column(k) for k in range(4))):
-                blob, n = memoryview(content.as_buffer()), valid.as_py()
+            for slot, file_id, valid, content, start in zip(*(part.column(k) for k in range(5))):
+                blob, n, start = memoryview(content.as_buffer()), valid.as_py(), start.as_py()
                 check_size(len(blob), len(blob) if n is None else n)
-                yield from batches(slot.as_py(), file_id.as_py(), blob, n)
+                yield from stacked(slot.as_py(), file_id.as_py(), ((start + at, *row) for at, *row in walk(blob, n)))
 
-    return blobs.select("slot", "file_id", "valid_len", "content").mapInArrow(run, RECORD_SCHEMA)
+    start = F.col("start") if "start" in blobs.columns else F.lit(0)
+    return blobs.select("slot", "file_id", "valid_len", "content", start.cast("long").alias("start")).mapInArrow(run, RECORD_SCHEMA)
 
 
 def decode_files(files: DataFrame) -> DataFrame:
@@ -168,8 +174,62 @@ def open_bytes(path: str):
     return open(path, "rb")
 
 
+#: The columns that `_pieces` reads, after the number of the file's part.
+_PACKED = ["slot", "file_id", "pubkey", "lamports", "rent_epoch", "owner", "executable", "hash", "data"]
+
+
+def _pieces(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(slot, file_id, start, content) of batches that are sorted by file and part; no more than one piece is held at a time."""
+    now, start, held = None, 0, bytearray()
+    for batch in parts:
+        for a in range(0, batch.num_rows, BATCH_ROWS):
+            for part, slot, file_id, key, lamports, rent, *rest in zip(*(c.to_pylist() for c in batch.slice(a, BATCH_ROWS).columns)):
+                if now != (slot, file_id, part):
+                    if held:
+                        yield *now[:2], start, bytes(held)
+                    now, start, held = (slot, file_id, part), 0, bytearray()
+                held += pack([(key, int(lamports), int(rent), *rest)])
+                if len(held) >= most:
+                    yield *now[:2], start, bytes(held)
+                    start, held = start + len(held), bytearray()
+    if held:
+        yield *now[:2], start, bytes(held)
+
+
+def encode_pieces(accounts: DataFrame, most: int = PIECE_BYTES) -> DataFrame:
+    """(slot, file_id, start, valid_len, content): storage files of decoded records, in pieces of whole records and about
+    `most` bytes. A file's pieces in order are what `encode` makes of it."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slot, file_id, start, content in _pieces(parts, most):
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((slot, file_id, start, len(content), content), _PIECE)], schema=_PIECE)
+
+    rows = accounts.repartition("slot", "file_id").sortWithinPartitions("slot", "file_id", "offset")  # the sort spills
+    return rows.select(F.lit(0).alias("part"), *_PACKED).mapInArrow(run, "slot long, file_id long, start long, valid_len long, content binary")
+
+
+def through_files(accounts: DataFrame, most: int = PIECE_BYTES, part_rows: int = PART_ROWS) -> DataFrame:
+    """`decode` of `encode` for files of any size: packed and walked in one pass, a piece at a time.
+
+    A file of over `part_rows` records is dealt to several tasks by offset, each packing a file of its own; the offsets of
+    its records count from there.
+    """
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slot, file_id, start, content in _pieces(parts, most):
+            yield from stacked(slot, file_id, ((start + at, *row) for at, *row in walk(content)))
+
+    files = accounts.groupBy("slot", "file_id").agg(F.count("*").alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high"))
+    large = files.where(F.col("n") > part_rows).select(F.col("slot").alias("s"), F.col("file_id").alias("f"), "low", ((F.col("high") - F.col("low") + 1) / F.ceil(F.col("n") / part_rows)).alias("width"))
+    rows = accounts.join(F.broadcast(large), (F.col("slot") == F.col("s")) & (F.col("file_id") == F.col("f")), "left")  # as many rows as parts at most
+    rows = rows.withColumn("part", F.coalesce(F.floor((F.col("offset") - F.col("low")) / F.col("width")), F.lit(0)))
+    rows = rows.repartition("slot", "file_id", "part").sortWithinPartitions("slot", "file_id", "part", "offset").select("part", *_PACKED)
+    return rows.mapInArrow(run, RECORD_SCHEMA)
+
+
 def encode(accounts: DataFrame) -> DataFrame:
-    """(slot, file_id, valid_len, content): storage files of decoded records, one for each (slot, file_id)."""
+    """(slot, file_id, valid_len, content): storage files of decoded records, one for each (slot, file_id). A file is held
+    whole; `encode_pieces` is for large ones."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("offset")
