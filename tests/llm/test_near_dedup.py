@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import types as T
@@ -102,3 +103,46 @@ def test_rows_without_an_id(spark):
 
 def test_empty_table(spark):
     assert result(spark, []) == []
+
+
+def test_wide_fingerprints_are_the_signs_of_summed_votes():
+    rng = np.random.default_rng(5)
+    sizes = [1, 9, 700, *[40] * near_dedup.BLOCK]
+    sets = [rng.integers(0, 1 << 64, n, dtype=np.uint64) for n in sizes]
+    got = near_dedup.wide_fingerprints(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
+    votes = near_dedup._votes()
+    for k in (0, 1, 2, 3, len(sets) - 1):
+        sums = sum((-1 if int(h) >> 63 else 1) * votes[(int(h) >> 20) % near_dedup.BUCKETS].astype(np.int64) for h in sets[k])
+        assert np.unpackbits(got[k]).tolist() == (sums > 0).astype(int).tolist()
+
+
+def test_texts_of_the_similarity_meet_by_simhash_and_strangers_do_not(spark):
+    rng = np.random.default_rng(6)
+    # pairs of 45 shingles, 40 of them shared: similarity 0.8
+    drawn = [rng.integers(0, 1 << 64, 50, dtype=np.uint64) for _ in range(150)]
+    sets = [s for x in drawn for s in (x[:45], x[5:])] + [rng.integers(0, 1 << 64, 45, dtype=np.uint64) for _ in range(150)]
+    prints = near_dedup.wide_fingerprints(np.concatenate(sets), np.repeat(np.arange(len(sets)), 45), len(sets))
+    df = spark.createDataFrame([(k, bytearray(p.tobytes())) for k, p in enumerate(prints)], "unit long, fp binary")
+    found = {r.unit: set(r.bands) for r in near_dedup.meetings(df, 0.8, []).collect()}
+    assert all(found.get(k, set()) & found.get(k + 1, set()) for k in range(0, 300, 2))
+    assert sum(k >= 300 for k in found) < 5
+
+
+def test_entries_that_meet_are_those_of_brute_force_across_batches(spark):
+    rng = random.Random(7)
+    rows, unit = [], 0
+    for key, n in enumerate([1, 2, 3, 9, near_dedup.CROWDED, near_dedup.CROWDED + 1, 1, 300, 2]):
+        for _ in range(n):
+            rows.append((key, unit, rng.getrandbits(3), rng.getrandbits(60)))
+            unit += 1
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = sorted(tuple(r) for r in near_dedup._met(spark.createDataFrame(rows, "key long, unit long, c0 long, c1 long"), 22).collect())
+            entry = lambda key: [r for r in rows if r[0] == key]
+            near = lambda a, b: a[1] != b[1] and (a[2] ^ b[2]).bit_count() + (a[3] ^ b[3]).bit_count() <= 22
+            want = sorted((r[1], r[0]) for r in rows if len(entry(r[0])) > near_dedup.CROWDED or any(near(r, x) for x in entry(r[0])))
+            assert got == want and near_dedup.CROWDED + 301 < len(want) < len(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
