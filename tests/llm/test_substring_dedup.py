@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import substring_dedup as S
@@ -206,3 +207,48 @@ def test_short_whole_texts_lengths_and_clashing_names(spark):
     assert {(r.doc_id, r.removed) for r in lines.collect()} >= {(5, False), (6, True), (2, True)}
     out = S.remove_spans(df, lines)
     assert out.columns == df.columns and {r.doc_id: r.text for r in out.collect()}[6] == rows[5][1][: -len(line)]
+
+
+def test_a_group_in_many_bands_takes_few_comparisons_and_loses_no_link(spark, monkeypatch):
+    rng = random.Random(8)
+    base, sets = [rng.getrandbits(63) for _ in range(60)], {}
+    for unit in range(200):
+        gone = rng.randrange(12)
+        sets[unit] = set(rng.sample(base, 60 - gone)) | {rng.getrandbits(63) for _ in range(gone)}
+    grouped = [(band * 12 + rng.randrange(12), 0, unit) for band in range(60) for unit in sets]
+    compared, verified = [], S._verified
+    monkeypatch.setattr(S, "_verified", lambda pairs, *rest: compared.extend(pairs.collect()) or verified(pairs, *rest))
+    got = S.links(spark.createDataFrame(grouped, "band long, salt int, unit long"), spark.createDataFrame([(u, list(s)) for u, s in sets.items()], "unit long, s array<long>"))
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+
+    def groups(pairs):
+        root = {u: u for u in sets}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            root[find(a)] = find(b)
+        return {frozenset(u for u in sets if find(u) == r) for r in map(find, sets)}
+
+    mine = [tuple(r) for r in got.collect()]
+    assert all(alike(a, b) for a, b in mine)
+    assert groups(mine) == groups([(a, b) for a in sets for b in range(a) if alike(a, b)]) and 20 < len(groups(mine)) < 180
+    assert len(compared) < 10 * len(sets)
+
+
+def test_what_is_ruled_out_by_parities_is_not_similar(spark):
+    rng = random.Random(13)
+    rows, similar = [], 0
+    for k in range(400):
+        n = rng.choice([1, 2, 5, 30, 300])
+        a = {rng.getrandbits(63) for _ in range(n)}
+        b = set(rng.sample(sorted(a), n - rng.randrange(n // 4 + 1))) | {rng.getrandbits(63) for _ in range(rng.randrange(n // 5 + 1))}
+        similar += len(a & b) >= 0.8 * len(a | b)
+        rows.append((list(a), list(b), len(a & b) >= 0.8 * len(a | b)))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, similar boolean")
+    side = lambda df, c, end: df.select("*", *[x.alias(f"p{w}{end}") for w, x in enumerate(S._parities(c))], F.size(c).alias("n" + end))
+    fit = side(side(df, "a", ""), "b", "0").select("similar", S._fit("", "0", 0.8)[0].alias("fit")).collect()
+    assert 50 < similar < 350 and all(r.fit for r in fit if r.similar) and not all(r.fit for r in fit)

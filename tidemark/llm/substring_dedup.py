@@ -14,8 +14,10 @@ repeated block at the end of a run of blocks is compared, word by word, with the
 the block, so a span reaches as far as the two texts agree: up to WINDOW - 1 words on either side, the most that block
 selection leaves.
 
-Of paragraphs that share a band, all are compared with the band's first one and, where several clusters remain, with a
-few more, so a large group of near copies takes a few times as many comparisons as it has members. Bands are salted by
+Of paragraphs that share a band, each can be compared with the band's first one and, where several clusters remain, with
+a few more. Parities of their sets rule out, exactly, most that are not similar, and of what is left, over all its bands,
+a paragraph is compared with the TRIES that look closest, so a large group of near copies takes a few times as many
+comparisons as it has members, in however many bands they meet. Bands are salted by
 their size: no task gets more than some HOT members of one. Where a band then still holds several clusters, its
 paragraphs are compared across clusters by an exact prefix filter, so no link between clusters is lost. The similarity
 is the exact Jaccard coefficient of the shingle sets, 0.8 or more. Components of verified links are clusters, and a
@@ -48,8 +50,10 @@ SIMILARITY = 0.8
 MIN_WORDS = 20
 BANDS, ROWS = 10, 4
 WINDOW, BLOCK = 20, 24
-#: Further paragraphs of a band with which all others of it are compared, before the exact search between clusters.
+#: Further paragraphs of a band that all others of it may be compared with, before the exact search between clusters.
 PIVOTS = 4
+#: Of its bands' first paragraphs, and then of their further ones, as many are compared with one at most.
+TRIES = 4
 #: Members of a band that one task is meant to get at most.
 HOT = 5_000
 #: Classes of over HOT members that are broadcast at most; if there are more, adaptive execution splits their join.
@@ -308,14 +312,14 @@ def kept(made: list[DataFrame], df: DataFrame, name: str) -> DataFrame:
     return made[-1]
 
 
-def _parities() -> list[Column]:
-    """Four longs, in which each shingle of `s` flips one of 256 bits.
+def _parities(s: str = "s") -> list[Column]:
+    """Four longs, in which each shingle of column `s` flips one of 256 bits.
 
     Shingles of both of two sets cancel out, so the bits in which they differ are at most the shingles that only one has.
     """
     one = F.lit(1).cast("long")
     flip = lambda word: lambda bits, x: F.when(F.pmod(x, F.lit(4)) == word, bits.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.shiftright(x, 2), F.lit(64)).cast("int")))).otherwise(bits)
-    return [F.aggregate("s", F.lit(0).cast("long"), flip(w)).alias(f"p{w}") for w in range(4)]
+    return [F.aggregate(s, F.lit(0).cast("long"), flip(w)).alias(f"p{w}") for w in range(4)]
 
 
 def _across(open_units: DataFrame, sets: DataFrame, similarity: float, made: list[DataFrame]) -> DataFrame:
@@ -368,18 +372,42 @@ def members(paragraphs: DataFrame, made: list[DataFrame], hot: int = HOT) -> Dat
     return kept(made, rows.join(sizes, ["band", "part"]).select("band", salt.alias("salt"), "unit"), "members")
 
 
+def _fit(c: str, d: str, similarity: float) -> tuple[Column, Column]:
+    """Whether sets of `n` members with parities p0 to p3, of name endings c and d, can be similar, and how far apart they look.
+
+    Sets of this similarity differ in no more shingles than the bound, so their parities differ in no more bits.
+    """
+    n, m = F.col("n" + c), F.col("n" + d)
+    apart = sum((F.bit_count(F.col(f"p{w}{c}").bitwiseXOR(F.col(f"p{w}{d}"))) for w in range(4)), F.lit(0))
+    bound = (n + m) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6) & (apart <= bound), apart / bound
+
+
+def _tried(pairs: DataFrame) -> DataFrame:
+    """(a, b): of each b's `pairs` (a, b, far) the TRIES that look closest, however many bands b is in."""
+    order = Window.partitionBy("b").orderBy("far", "a")  # as many as b has bands, times PIVOTS
+    ranked = pairs.groupBy("a", "b").agg(F.min("far").alias("far")).select("a", "b", F.row_number().over(order).alias("rank"))
+    return ranked.where(F.col("rank") <= TRIES).select("a", "b")
+
+
 def links(grouped: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): verified links that connect whatever units share a band and are similar; `sets` has their shingles. A written table."""
     made: list[DataFrame] = []
-    firsts = grouped.groupBy("band", "salt").agg(F.min("unit").alias("a"))
-    inside = grouped.join(firsts, ["band", "salt"]).select("a", F.col("unit").alias("b"))
-    across = firsts.join(firsts.groupBy("band").agg(F.min("a").alias("b")), "band").select(F.col("b").alias("a"), F.col("a").alias("b"))
+    sketch = ["n", *(f"p{w}" for w in range(4))]
+    marked = kept(made, grouped.join(sets.select("unit", F.size("s").alias("n"), *_parities()), "unit").select("band", "salt", "unit", *sketch), "marked-members")
+    fit, far = _fit("", "0", similarity)
+    other = [F.col(f"p.{x}").alias(x + "0") for x in ("unit", *sketch)]
+    firsts = marked.groupBy("band", "salt").agg(F.min(F.struct("unit", *sketch)).alias("p")).select("band", "salt", *other)
+    inside = _tried(marked.join(firsts, ["band", "salt"]).where((F.col("unit") != F.col("unit0")) & fit).select(F.col("unit0").alias("a"), F.col("unit").alias("b"), far.alias("far")))
+    across = firsts.join(firsts.groupBy("band").agg(F.min("unit0").alias("b")), "band").select(F.col("b").alias("a"), F.col("unit0").alias("b"))
     near = kept(made, _verified(inside.unionByName(across).where("a <> b").distinct(), sets, similarity), "near")
-    open_units = _open(grouped, near, made)
-    # a few more pivots join most of what the first left apart, as many comparisons as members each
-    picks = [F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "cluster")).alias(f"p{k}") for k in range(PIVOTS)]
+    open_units = _open(marked, near, made)
+    # a few more pivots join most of what the first left apart
+    picks = [F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "cluster", *sketch)).alias(f"p{k}") for k in range(PIVOTS)]
     pivots = open_units.groupBy("band", "salt").agg(*picks).select("band", "salt", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
-    pairs = open_units.join(pivots, ["band", "salt"]).where("cluster <> p.cluster").select(F.least("unit", "p.unit").alias("a"), F.greatest("unit", "p.unit").alias("b")).distinct()
+    pivots = pivots.select("band", "salt", F.col("p.cluster").alias("cluster0"), *other)
+    pairs = _tried(open_units.join(pivots, ["band", "salt"]).where((F.col("cluster") != F.col("cluster0")) & fit).select(F.col("unit0").alias("a"), F.col("unit").alias("b"), far.alias("far")))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = kept(made, near.unionByName(_verified(pairs, sets, similarity)).distinct(), "near")
     forget(open_units)
     apart = kept(made, _open(grouped, more, made).select("unit", "cluster").distinct(), "apart")
@@ -390,9 +418,9 @@ def links(grouped: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -
 
 
 def _open(grouped: DataFrame, near: DataFrame, made: list[DataFrame]) -> DataFrame:
-    """(band, salt, unit, cluster) of the bands whose units the links `near` leave in several clusters."""
+    """`grouped` (band, salt, unit) with `cluster`, of the bands whose units the links `near` leave in several clusters."""
     clusters = components(near)
-    named = grouped.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select("band", "salt", "unit", F.coalesce("root", "unit").alias("cluster"))
+    named = grouped.join(clusters.select(F.col("node").alias("unit"), "root"), "unit", "left").select(*grouped.columns, F.coalesce("root", "unit").alias("cluster"))
     named = written(named, "named-members")
     forget(clusters)
     ends = named.groupBy("band", "salt").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
